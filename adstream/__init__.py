@@ -7,6 +7,7 @@ from adstream.operators.conversions import flag_orphans, orphan_conversions
 from adstream.operators.dedupe import dedupe_events
 from adstream.operators.parse import encode_events, parse_events
 from adstream.session import build_session
+from adstream.streaming.runner import run_pipeline
 
 __all__ = [
     "FraudRules",
@@ -21,4 +22,5 @@ __all__ = [
     "fraud_alerts",
     "orphan_conversions",
     "parse_events",
+    "run_pipeline",
 ]

@@ -1,0 +1 @@
+"""Structured Streaming: stateful operators, sinks and the runner."""
