@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from adstream.sources import storage
 
@@ -96,7 +96,7 @@ def read_latest(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 
 def read_upserts(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> DataFrame:
     """A table of changed rows as its current state: per key the row of the last batch."""
-    stored = StructType.fromJson(schema.jsonValue()).add("batch_id", "bigint")
+    stored = StructType.fromJson(schema.jsonValue()).add("batch_id", LongType())
     values = [c for c in schema.fieldNames() if c not in keys]
     changes = spark.read.schema(stored).parquet(path)
     newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("row"))

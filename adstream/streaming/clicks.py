@@ -20,16 +20,16 @@ def flag_click_stream(clicks: DataFrame, rules: FraudRules) -> DataFrame:
     spread over ``stream_salts`` cells per key, and only flagged keys, which are few,
     are repeated for each cell; no group of clicks is ever collected.
     """
-    # Not F.col("timestamp") below: the window must be the one event time of the rows.
     window = F.window("timestamp", rules.click_window)
     cell = F.pmod(F.xxhash64("event_id", F.spark_partition_id()), F.lit(rules.stream_salts))
+    # The window is the event time of the rows, and there may be only one: the
+    # click's own time travels as a plain number.
     rows = clicks.select(
+        "*",
         window.alias("_window"),
-        F.col("user_id").alias("_user"),
-        F.col("ip_address").alias("_address"),
         cell.cast("int").alias("_cell"),
-        F.struct("*").alias("_click"),
-    )
+        F.unix_micros("timestamp").alias("_micros"),
+    ).drop("timestamp")
 
     users = (
         clicks.filter(F.col("user_id").isNotNull())
@@ -48,20 +48,18 @@ def flag_click_stream(clicks: DataFrame, rules: FraudRules) -> DataFrame:
         .filter(over_limit(F.col("n"), rules.bot_campaigns))
     )
 
-    marked = _mark(rows, users, "_user", "user_id", "is_click_flood", rules.stream_salts)
-    marked = _mark(marked, addresses, "_address", "ip_address", "is_bot_ip", rules.stream_salts)
-    windowed = marked.select("_click.*", "is_click_flood", "is_bot_ip")
+    marked = _mark(rows, users, "user_id", "is_click_flood", rules.stream_salts)
+    marked = _mark(marked, addresses, "ip_address", "is_bot_ip", rules.stream_salts)
+    windowed = marked.withColumn("timestamp", F.timestamp_micros("_micros"))
 
     unknown = F.lit(None).cast("boolean")
     timeless = clicks.filter(F.col("timestamp").isNull()).withColumns(
         {"is_click_flood": unknown, "is_bot_ip": unknown}
     )
-    return finish_click_flags(windowed.unionByName(timeless), rules)
+    return finish_click_flags(windowed, rules).unionByName(finish_click_flags(timeless, rules))
 
 
-def _mark(
-    rows: DataFrame, flagged: DataFrame, row_key: str, key: str, flag: str, salts: int
-) -> DataFrame:
+def _mark(rows: DataFrame, flagged: DataFrame, key: str, flag: str, salts: int) -> DataFrame:
     every_cell = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     hits = flagged.select(
         F.col("_window").alias("_hit_window"),
@@ -71,8 +69,8 @@ def _mark(
     )
     same: Column = (
         (F.col("_window") == F.col("_hit_window"))
-        & (F.col(row_key) == F.col("_hit_key"))
+        & (F.col(key) == F.col("_hit_key"))
         & (F.col("_cell") == F.col("_hit_cell"))
     )
-    verdict = F.when(F.col(row_key).isNotNull(), F.coalesce("_hit", F.lit(False)))
+    verdict = F.when(F.col(key).isNotNull(), F.coalesce("_hit", F.lit(False)))
     return rows.join(hits, same, "left").select(*rows.columns, verdict.alias(flag))

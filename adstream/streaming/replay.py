@@ -34,8 +34,11 @@ _DERIVE = {
 
 
 def event_stream(spark: SparkSession, sf_dir: str, closing: str) -> DataFrame:
-    """The stored events as one micro-batch, then the closing events one by one."""
-    stored = spark.readStream.schema(adevents.EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
+    """The stored events as one micro-batch, then the closing events one by one.
+
+    The braces make the path a pattern, which may name a file as well as a directory.
+    """
+    stored = spark.readStream.schema(adevents.EVENTS_DDL).parquet(f"{sf_dir}/{{events.parquet}}")
     end = spark.readStream.schema(adevents.EVENTS_DDL).option("maxFilesPerTrigger", 1).parquet(closing)
     return stored.unionByName(end)
 

@@ -33,7 +33,7 @@ def run_pipeline(
     rules: FraudRules = FraudRules(),
     click_scope: str = "window",
     alert_mode: str = "complete",
-    from_bronze: bool = False,
+    from_bronze: bool = True,
     keep_raw: bool = False,
     dedupe: bool = False,
     trigger: Trigger | None = None,
@@ -44,7 +44,8 @@ def run_pipeline(
     ``source_options`` has the reader's options for each of ``impressions``,
     ``clicks`` and ``conversions``. ``click_scope`` is ``window`` (counts per
     event-time window) or ``batch`` (counts per micro-batch). With ``from_bronze``
-    the silver queries follow the bronze tables, so that each topic is read once.
+    the silver queries follow the bronze tables, so each topic is read and parsed
+    once; otherwise every query reads its topics itself, which is sooner but more.
     A ``trigger`` that ends by itself, such as ``{"availableNow": True}``, runs the
     layers one after the other and returns when all is written.
     """
