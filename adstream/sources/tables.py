@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from adstream.sources import storage
 
@@ -33,15 +33,22 @@ def read_table(
 ) -> DataFrame:
     """The rows of an appended table, as a table or as a stream that follows it.
 
-    The schema is given, never inferred, so an empty table can be read.
+    The schema is given, never inferred, so an empty table can be read. It includes
+    the batch number: a stream that starts before the first batch would otherwise
+    not expect the column that the directory names add.
     """
     reader = spark.readStream if streaming else spark.read
     if table_format != "parquet":
         return reader.format(table_format).load(path).select(schema.fieldNames())
-    found = reader.schema(schema).option("ignoreMissingFiles", "true").parquet(path)
+    stored = _with_batch_id(schema)
+    found = reader.schema(stored).option("ignoreMissingFiles", "true").parquet(path)
     return found.select(schema.fieldNames())
 
 
+def _with_batch_id(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField("batch_id", LongType())])
+
+
 def append_batch(batch: DataFrame, path: str, batch_id: int, table_format: str = "parquet") -> bool:
     """Write a micro-batch once, however often it is replayed; False if it was there.
 
@@ -96,8 +103,7 @@ def read_latest(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 
 def read_upserts(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> DataFrame:
     """A table of changed rows as its current state: per key the row of the last batch."""
-    stored = StructType.fromJson(schema.jsonValue()).add("batch_id", LongType())
     values = [c for c in schema.fieldNames() if c not in keys]
-    changes = spark.read.schema(stored).parquet(path)
+    changes = spark.read.schema(_with_batch_id(schema)).parquet(path)
     newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("row"))
     return newest.select(*keys, "row.*").select(schema.fieldNames())

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import sys
 import time
+from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
@@ -21,9 +22,9 @@ NOON = dt.datetime(2024, 5, 1, 10, 0, 0)
 def spark(tmp_path_factory):
     session = build_session(
         "adstream-tests",
-        master="local[8]",
+        master="local[4]",
         options={
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.sql.session.timeZone": "UTC",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
@@ -134,8 +135,26 @@ def plan_of(frame):
     return text.split("Initial Plan")[-1]
 
 
+@contextmanager
+def plain_shuffle(spark):
+    """Eight shuffle partitions that stay as they are, and no automatic broadcast."""
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def flags(frame, column, key="event_id"):
     return {r[key]: r[column] for r in frame.select(key, column).collect()}
 
 
-__all__ = ["F", "TESTDATA", "at", "click_frame", "conversion_frame", "flags", "plan_of", "rows_of", "run_to_end"]
+__all__ = ["F", "TESTDATA", "at", "click_frame", "conversion_frame", "flags", "plain_shuffle", "plan_of", "rows_of", "run_to_end"]

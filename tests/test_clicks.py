@@ -11,7 +11,7 @@ from adstream import FraudRules, LookupLimits, flag_clicks, flag_clicks_windowed
 from adstream.functions.rules import any_flag
 from adstream.operators import lookups
 from adstream.schemas import SILVER_CLICK
-from conftest import F, at, click_frame, flags, plan_of, rows_of
+from conftest import F, at, click_frame, flags, plain_shuffle, plan_of, rows_of
 
 # Forces the plan for more flagged groups than may be broadcast.
 TINY = LookupLimits(max_rows=1, heavy_rows=2)
@@ -164,15 +164,9 @@ def test_a_dominant_key_is_spread_in_the_shuffle_form(spark):
         "flagged", F.col("user_id").substr(-1, 1) != "7"
     )
     grouping = lookups.Grouping("hit", ("user_id",), verdicts)
-    # AQE would merge the small test partitions again.
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
+    with plain_shuffle(spark):
         marked = lookups.mark_rows(rows, [grouping], LookupLimits(max_rows=5, heavy_rows=1000))
         where = marked.groupBy(F.spark_partition_id()).agg(F.count_if(F.col("user_id") == "hot").alias("n"))
         sizes = [r["n"] for r in where.collect()]
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(sizes) == 10_000 and max(sizes) < 8_000
     assert marked.filter("hit").count() == marked.filter("substr(user_id, -1) != '7'").count()

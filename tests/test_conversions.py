@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from adstream import FraudRules, flag_orphans, orphan_conversions
 from adstream.schemas import CONVERSION, SILVER_CONVERSION
-from conftest import F, NOON, at, click_frame, conversion_frame, flags, plan_of, rows_of
+from conftest import F, NOON, at, click_frame, conversion_frame, flags, plain_shuffle, plan_of, rows_of
 
 FORMS = pytest.mark.parametrize("per_click", [True, False])
 
@@ -137,15 +137,10 @@ def test_conversions_without_click_id_are_spread(spark):
         F.lit("normal").alias("fraud_label"),
     )
     clicks = click_frame(spark, [{}])
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
+    with plain_shuffle(spark):
         for flagged in (flag_orphans(conversions, clicks), flag_orphans(conversions, clicks, per_click=False)):
             sizes = [r["count"] for r in flagged.groupBy(F.spark_partition_id()).count().collect()]
             assert sum(sizes) == 20_000 and max(sizes) < 7_000
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_click_side_is_narrow(spark, tmp_path):
