@@ -34,8 +34,8 @@ def flag_orphans(
     elif per_click:
         joined = _join_clicks(conversions, clicks, rules.tolerance, prior_only)
     else:
-        left, reach, found = _with_reach(conversions, clicks, rules.tolerance, prior_only)
-        joined = left.join(reach, left["_key"] == reach["_reach_key"], "left").withColumn("_found", found)
+        left, reach, same, found = _with_reach(conversions, clicks, rules.tolerance, prior_only)
+        joined = left.join(reach, same, "left").withColumn("_found", found)
     orphan = ~F.coalesce(F.col("_found"), F.lit(False))
     return joined.withColumns({"is_orphan_conversion": orphan, "is_fraud": orphan}).select(
         SILVER_CONVERSION.fieldNames()
@@ -49,8 +49,7 @@ def orphan_conversions(
     prior_only: bool = False,
 ) -> DataFrame:
     """Only the orphans, as an anti-join of tables; columns stay as they are."""
-    left, reach, found = _with_reach(conversions, clicks, rules.tolerance, prior_only)
-    same = left["_key"] == reach["_reach_key"]
+    left, reach, same, found = _with_reach(conversions, clicks, rules.tolerance, prior_only)
     return left.join(reach, same & found, "left_anti").select(conversions.columns)
 
 
@@ -59,18 +58,14 @@ def _in_reach(click: Column, conversion: Column, tolerance: str, prior_only: boo
     return (click >= conversion - duration(tolerance)) & (click <= latest)
 
 
-def _row_number_hash() -> Column:
+def _row_hash() -> Column:
     """Spreads rows, copies of one event included, alike in every attempt of a task."""
     return F.xxhash64("event_id", F.spark_partition_id())
 
 
-def _join_key(click_id: str, cell: Column, *more: Column) -> Column:
-    return F.struct(F.col(click_id).alias("id"), cell.cast("long").alias("cell"), *more)
-
-
-def _free_cell(otherwise: Column) -> Column:
-    """A conversion without a click id matches nothing, so it may be shuffled anywhere."""
-    return F.when(F.col("click_id").isNull(), _row_number_hash()).otherwise(otherwise)
+def _unmatchable() -> Column:
+    """Conversions that can have no click; where a shuffle sends them is free."""
+    return F.col("click_id").isNull() | F.col("timestamp").isNull()
 
 
 def _join_streams(
@@ -81,21 +76,18 @@ def _join_streams(
     A much-used click id is spread over ``orphan_salts`` cells of the state; the
     narrow click rows are repeated for each cell.
     """
-    salts = rules.orphan_salts
-    spread = F.pmod(_row_number_hash(), F.lit(salts))
-    left = conversions.withColumn("_key", _join_key("click_id", _free_cell(spread)))
-    cells = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    right = (
-        clicks.filter(F.col("event_id").isNotNull())
-        .select("event_id", F.col("timestamp").alias("_click_time"), cells.alias("_click_cell"))
-        .select(
-            _join_key("event_id", F.col("_click_cell")).alias("_click_key"),
-            "_click_time",
-            F.lit(True).alias("_found"),
-        )
+    salts = F.lit(rules.orphan_salts)
+    spread = F.when(_unmatchable(), _row_hash()).otherwise(F.pmod(_row_hash(), salts).cast("long"))
+    left = conversions.withColumn("_cell", spread)
+    right = clicks.filter(F.col("event_id").isNotNull()).select(
+        F.col("event_id").alias("_click"),
+        F.col("timestamp").alias("_click_time"),
+        F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_click_cell"),
+        F.lit(True).alias("_found"),
     )
+    same = (F.col("click_id") == F.col("_click")) & (F.col("_cell") == F.col("_click_cell"))
     near = _in_reach(F.col("_click_time"), F.col("timestamp"), rules.tolerance, prior_only)
-    return left.join(right, (left["_key"] == right["_click_key"]) & near, "left")
+    return left.join(right, same & near, "left")
 
 
 def _join_clicks(
@@ -108,28 +100,19 @@ def _join_clicks(
     left of a dominant click id on the conversion side is split by adaptive execution.
     """
     time, time_type = F.col("timestamp"), clicks.schema["timestamp"].dataType
-    first = day_number(time - duration(tolerance), time_type)
-    last = day_number(time + duration(tolerance), time_type)
     right = (
         clicks.filter(F.col("event_id").isNotNull() & time.isNotNull())
-        .groupBy("event_id", "timestamp")
+        .groupBy(F.col("event_id").alias("_click"), time.alias("_click_time"))
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .select(
-            "event_id",
-            time.alias("_click_time"),
-            "_copies",
-            F.explode(F.sequence(first, last)).alias("_click_day"),
-        )
-        .select(
-            _join_key("event_id", F.lit(0), F.col("_click_day").alias("day")).alias("_click_key"),
-            "_click_time",
-            "_copies",
-        )
+        .withColumn("_first", day_number(F.col("_click_time") - duration(tolerance), time_type))
+        .withColumn("_last", day_number(F.col("_click_time") + duration(tolerance), time_type))
+        .select("_click", "_click_time", "_copies", F.explode(F.sequence("_first", "_last")).alias("_click_day"))
     )
     day = day_number(time, conversions.schema["timestamp"].dataType)
-    left = conversions.withColumn("_key", _join_key("click_id", _free_cell(F.lit(0)), day.alias("day")))
+    left = conversions.withColumn("_day", F.when(_unmatchable(), F.pmod(_row_hash(), F.lit(2**31 - 1)).cast("int")).otherwise(day))
+    same = (F.col("click_id") == F.col("_click")) & (F.col("_day") == F.col("_click_day"))
     near = _in_reach(F.col("_click_time"), time, tolerance, prior_only)
-    joined = left.join(right, (left["_key"] == right["_click_key"]) & near, "left")
+    joined = left.join(right, same & near, "left")
     return _repeat(joined.withColumn("_found", F.col("_copies").isNotNull()), "_copies")
 
 
@@ -143,36 +126,35 @@ def _repeat(rows: DataFrame, times: str) -> DataFrame:
 
 def _with_reach(
     conversions: DataFrame, clicks: DataFrame, tolerance: str, prior_only: bool
-) -> tuple[DataFrame, DataFrame, Column]:
-    """Both sides of a join with at most one partner per conversion, and its match test.
-
-    Time is cut into windows as long as the tolerance. For a conversion in window w
-    every click in w is near enough; of the clicks one window earlier only the last
-    can decide, and of those one window later only the first. So per id and window
-    three times tell all, and they are aggregates that combine before the shuffle.
+) -> tuple[DataFrame, DataFrame, Column, Column]:
+    """Both sides of a join with at most one partner per conversion, its keys and its test.
+
+    A conversion is matched by a click from ``earliest`` to ``latest``. Time is cut
+    into windows of just that length, so these two are in one window or in the next.
+    Of the clicks in the first window only the last one can decide, of those in the
+    second only the first one. So two times per id and window tell all, and they
+    are aggregates that combine before the shuffle.
     """
-    width = duration(tolerance)
-    start, own, time = F.col("_start"), F.col("_own"), F.col("timestamp")
+    time, own, start = F.col("timestamp"), F.col("_own"), F.col("_start")
+    windows = tolerance if prior_only else f"{tolerance} {tolerance}"
+    width = duration(windows)
+    known = clicks.filter(F.col("event_id").isNotNull() & time.isNotNull()).select("event_id", "timestamp")
     reach = (
-        with_window_start(
-            clicks.filter(F.col("event_id").isNotNull() & time.isNotNull()).select("event_id", "timestamp"),
-            "_own",
-            tolerance,
-        )
-        .withColumn("_start", F.explode(F.array(own - width, own, own + width)))
-        .groupBy(_join_key("event_id", F.lit(0), start.alias("start")).alias("_reach_key"))
+        with_window_start(known, "_own", windows)
+        .withColumn("_start", F.explode(F.array(own, own - width)))
+        .groupBy(F.col("event_id").alias("_click"), start.alias("_click_start"))
         .agg(
-            F.min(F.when(own == start, time)).alias("_same_first"),
-            F.max(F.when(own < start, time)).alias("_before_last"),
-            F.min(F.when(own > start, time)).alias("_after_first"),
+            F.max(F.when(own == start, time)).alias("_last"),
+            F.min(F.when(own > start, time)).alias("_first"),
         )
     )
-    left = with_window_start(conversions, "_start", tolerance).withColumn(
-        "_key", _join_key("click_id", _free_cell(F.lit(0)), start.alias("start"))
-    )
-    before = F.col("_before_last") >= time - width
-    if prior_only:
-        found = before | (F.col("_same_first") <= time)
-    else:
-        found = before | F.col("_same_first").isNotNull() | (F.col("_after_first") <= time + width)
-    return left, reach, found
+    earliest = time - duration(tolerance)
+    latest = time if prior_only else time + duration(tolerance)
+    time_type = conversions.schema["timestamp"].dataType
+    anywhere = F.timestamp_seconds(F.pmod(_row_hash(), F.lit(2**31))).cast(time_type)
+    left = with_window_start(
+        conversions.withColumn("_earliest", earliest), "_start", windows, time="_earliest"
+    ).withColumn("_start", F.when(_unmatchable(), anywhere).otherwise(start))
+    same = (F.col("click_id") == F.col("_click")) & (start == F.col("_click_start"))
+    found = (F.col("_last") >= earliest) | (F.col("_first") <= latest)
+    return left, reach, same, found

@@ -20,7 +20,10 @@ from adstream.session import has_checkpoint_dir
 
 @dataclass(frozen=True)
 class Grouping:
-    """Verdicts per group: the key columns, ``n_rows`` and the boolean ``flagged``."""
+    """Verdicts per group: the key columns, ``n_rows`` and the boolean ``flagged``.
+
+    The last key is a string.
+    """
 
     name: str
     keys: tuple[str, ...]
@@ -109,7 +112,8 @@ def _mark_by_shuffle(
     The biggest groups, at most ``max_rows`` of them, are broadcast with their
     verdict. All others are at most a ``1 / max_rows`` share of the table each and
     are joined by shuffle. Rows that are decided already, or have no key, take part
-    in that shuffle under their map partition's number, so they spread evenly.
+    in that shuffle under their map partition's number instead of their key, so they
+    spread evenly; whatever they meet there does not change their verdict.
     """
     biggest = (
         found.filter(F.col("key_bytes") <= limits.max_key_bytes)
@@ -122,17 +126,17 @@ def _mark_by_shuffle(
     others = (
         found.filter("flagged")
         .join(F.broadcast(biggest.select("key")), "key", "left_anti")
-        .select(F.struct("key", F.lit(-1).alias("spread")).alias("_other_key"), F.lit(True).alias("_other"))
+        .select(*[F.col("key")[k].alias(f"_other_{k}") for k in grouping.keys], F.lit(True).alias("_other"))
     )
     with_big = rows.join(F.broadcast(decided), _matches(rows, grouping.keys, "_big_"), "left")
     settled = F.col("_big").isNotNull() | ~_keys_present(grouping.keys)
-    row_key = F.struct(
-        F.struct(*grouping.keys).alias("key"),
-        F.when(settled, F.spark_partition_id()).otherwise(-1).alias("spread"),
-    )
-    joined = with_big.withColumn("_row_key", row_key).join(
-        others, F.col("_row_key") == F.col("_other_key"), "left"
+    *scope, key = grouping.keys
+    spread_key = F.when(settled, F.spark_partition_id().cast("string")).otherwise(F.col(key))
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col("_spread_key") == F.col(f"_other_{key}")] + [F.col(k) == F.col(f"_other_{k}") for k in scope],
     )
+    joined = with_big.withColumn("_spread_key", spread_key).join(others, same, "left")
     return joined.withColumn(
         grouping.name, _verdict(grouping, F.col("_big"), F.col("_other"))
     ).select(*rows.columns, grouping.name)

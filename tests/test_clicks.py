@@ -121,7 +121,7 @@ def _brute_force(rows, rules, windowed):
     return result
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=CLICK_ROWS, windowed=st.booleans(), tiny=st.booleans())
 def test_flags_equal_brute_force(spark, rows, windowed, tiny):
     rows = [{"event_id": f"k{i}", **r} for i, r in enumerate(rows)]

@@ -99,7 +99,7 @@ CONVERSIONS = st.lists(
 )
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(clicks=CLICKS, conversions=CONVERSIONS, prior_only=st.booleans())
 def test_all_forms_equal_brute_force(spark, clicks, conversions, prior_only):
     def moment(minutes):
