@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adstream.config import FraudRules, TablePaths
+from adstream.functions.rules import instant_click
 from adstream.operators.alerts import fraud_alerts
 from adstream.operators.clicks import (
     campaigns_per_address,
@@ -21,11 +23,9 @@ from adstream.operators.clicks import (
 from adstream.operators.conversions import flag_orphans, orphan_conversions
 from adstream.operators.dedupe import dedupe_events
 from adstream.operators.parse import encode_events, parse_events
-from adstream.functions.rules import instant_click
 from adstream.plans import reports
 from adstream.schemas import (
     CLICK,
-    GOLD_ALERT,
     MESSAGES,
     SILVER_CLICK,
     SILVER_CONVERSION,
@@ -34,8 +34,7 @@ from adstream.session import scratch_path
 from adstream.sources import adevents, tables
 from adstream.streaming import replay as r
 from adstream.streaming.runner import await_all, run_pipeline
-from adstream.streaming.sinks import start_alerts, start_append, start_click_flags
-from pyspark.sql import functions as F
+from adstream.streaming.sinks import start_alerts, start_append, start_click_flags, start_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,12 +200,15 @@ def medallion_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All six queries, from files of messages to the gold table."""
     root = scratch_path(spark, "medallion")
     closing = r.write_closing_events(spark, f"{root}/closing")
-    options = {}
+    options, producers = {}, []
     for topic in MESSAGES:
-        messages = r.topic_messages(spark, sf_dir, topic, closing)
-        path, checkpoint = f"{root}/topics/{topic}", f"{root}/producer/{topic}"
-        await_all([start_append(messages, path, checkpoint, trigger=r.TO_THE_END)])
-        options[topic] = {"path": path}
+        options[topic] = {"path": f"{root}/topics/{topic}"}
+        events = r.topic_events(spark, sf_dir, topic, closing)
+        checkpoint = f"{root}/producer/{topic}"
+        producers.append(
+            start_messages(events, "parquet", options[topic], checkpoint, trigger=r.TO_THE_END)
+        )
+    await_all(producers)
     paths = TablePaths(f"{root}/tables")
     with r.state_partitions(spark):
         run_pipeline(
@@ -220,12 +222,7 @@ def _appended(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def _gold(spark: SparkSession, path: str, mode: str) -> DataFrame:
-    if mode == "complete":
-        alerts = tables.read_latest(spark, path, GOLD_ALERT)
-    elif mode == "update":
-        alerts = tables.read_upserts(spark, path, GOLD_ALERT, ["campaign_id", "window_start", "window_end"])
-    else:
-        alerts = tables.read_table(spark, path, GOLD_ALERT)
+    alerts = tables.read_alerts(spark, path, mode)
     current = r.without_closing(alerts, "window_start")
     return adevents.with_local_times(current, "window_start", "window_end")
 

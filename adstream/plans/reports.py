@@ -6,10 +6,13 @@ that they are the same in every run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adstream.config import TablePaths
 from adstream.functions.rules import percentage
+from adstream.schemas import CLICK, GOLD_ALERT, SILVER_CLICK, SILVER_CONVERSION
+from adstream.sources import tables
 
 
 def click_sample(clicks: DataFrame, n: int = 5) -> DataFrame:
@@ -43,3 +46,20 @@ def orphan_report(flagged_conversions: DataFrame, n: int = 10) -> DataFrame:
         .limit(n)
         .select("event_id", "click_id", "campaign_id", "revenue_usd", "is_orphan_conversion")
     )
+
+
+def all_reports(
+    spark: SparkSession, paths: TablePaths, alert_mode: str = "complete", table_format: str = "parquet"
+) -> dict[str, DataFrame]:
+    """Every report over the tables that the application wrote, by title."""
+    bronze = tables.read_table(spark, paths.bronze("clicks"), CLICK, table_format)
+    silver = tables.read_table(spark, paths.silver("clicks"), SILVER_CLICK, table_format)
+    flagged = tables.read_table(spark, paths.silver("conversions"), SILVER_CONVERSION, table_format)
+    alerts = tables.read_alerts(spark, paths.gold(), alert_mode, table_format)
+    return {
+        "Bronze: first clicks": click_sample(bronze),
+        "Silver: share of fraudulent clicks": fraud_totals(silver),
+        "Silver: first fraudulent clicks": fraud_click_sample(silver),
+        "Gold: campaign windows with the highest fraud rate": top_alerts(alerts),
+        "Silver: first orphan conversions": orphan_report(flagged),
+    }

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from adstream.schemas import GOLD_ALERT
 from adstream.sources import storage
 
 
@@ -107,3 +108,14 @@ def read_upserts(spark: SparkSession, path: str, schema: StructType, keys: list[
     changes = spark.read.schema(_with_batch_id(schema)).parquet(path)
     newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("row"))
     return newest.select(*keys, "row.*").select(schema.fieldNames())
+
+
+def read_alerts(
+    spark: SparkSession, path: str, mode: str = "complete", table_format: str = "parquet"
+) -> DataFrame:
+    """The current alerts of a gold table that was written in the given output mode."""
+    if mode == "complete" and table_format == "parquet":
+        return read_latest(spark, path, GOLD_ALERT)
+    if mode == "update":
+        return read_upserts(spark, path, GOLD_ALERT, ["campaign_id", "window_start", "window_end"])
+    return read_table(spark, path, GOLD_ALERT, table_format)

@@ -49,17 +49,17 @@ def write_closing_events(spark: SparkSession, path: str) -> str:
     return path
 
 
-def topic_messages(spark: SparkSession, sf_dir: str, topic: str, closing: str) -> DataFrame:
-    """One topic of the event stream as encoded messages."""
-    derived = _DERIVE[topic](event_stream(spark, sf_dir, closing))
-    return encode_events(adevents.with_instants(derived))
+def topic_events(spark: SparkSession, sf_dir: str, topic: str, closing: str) -> DataFrame:
+    """One topic of the event stream, before it is encoded."""
+    return adevents.with_instants(_DERIVE[topic](event_stream(spark, sf_dir, closing)))
 
 
 def topic_stream(
     spark: SparkSession, sf_dir: str, topic: str, closing: str, watermark: str = "10 minutes"
 ) -> DataFrame:
     """One topic of the event stream, encoded to messages and parsed again."""
-    return parse_events(topic_messages(spark, sf_dir, topic, closing), MESSAGES[topic], watermark)
+    messages = encode_events(topic_events(spark, sf_dir, topic, closing))
+    return parse_events(messages, MESSAGES[topic], watermark)
 
 
 def without_closing(rows: DataFrame, time: str = "timestamp") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adstream.config import FraudRules
 from adstream.operators.clicks import flag_clicks
+from adstream.operators.parse import encode_events
 from adstream.sources import tables
 
 Trigger = dict[str, object]
@@ -33,6 +34,19 @@ def start_append(
     return _start(writer, name, trigger)
 
 
+def start_messages(
+    events: DataFrame,
+    sink_format: str,
+    options: dict[str, str],
+    checkpoint: str,
+    name: str | None = None,
+    trigger: Trigger = EVENT_TRIGGER,
+) -> StreamingQuery:
+    """Send events as JSON messages to a topic, or to files that can be read as one."""
+    writer = encode_events(events).writeStream.format(sink_format).outputMode("append")
+    return _start(writer.options(**options).option("checkpointLocation", checkpoint), name, trigger)
+
+
 def start_batches(
     stream: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -87,7 +101,7 @@ def start_alerts(
     ``complete`` replaces the table at each trigger and keeps every window in the
     state for ever. ``append`` writes a window once, when it closes, and ``update``
     writes the windows that changed; both let the state expire. Read the result with
-    ``tables.read_latest``, ``read_table`` and ``read_upserts`` respectively.
+    ``tables.read_alerts`` and the same mode.
     """
     spark = alerts.sparkSession
     if mode == "update" and table_format != "parquet":

@@ -3,6 +3,8 @@
 import pytest
 
 from adstream import FraudRules, TablePaths, encode_events, run_pipeline
+from adstream.__main__ import main
+from adstream.plans.reports import all_reports
 from adstream.schemas import CLICK, CONVERSION, GOLD_ALERT, IMPRESSION, SILVER_CLICK, SILVER_CONVERSION
 from adstream.sources import tables
 from adstream.streaming.runner import await_first_end
@@ -74,14 +76,8 @@ def test_all_layers(spark, tmp_path, topics, settings):
     orphans = _before_the_end(tables.read_table(spark, paths.silver("conversions"), SILVER_CONVERSION))
     assert rows_of(orphans, "event_id", "is_orphan_conversion") == [("v1", False), ("v2", True)]
 
-    read = {
-        "complete": lambda: tables.read_latest(spark, paths.gold(), GOLD_ALERT),
-        "append": lambda: tables.read_table(spark, paths.gold(), GOLD_ALERT),
-        "update": lambda: tables.read_upserts(
-            spark, paths.gold(), GOLD_ALERT, ["campaign_id", "window_start", "window_end"]
-        ),
-    }[settings["alert_mode"]]
-    alerts = _before_the_end(read(), "window_start")
+    current = tables.read_alerts(spark, paths.gold(), settings["alert_mode"])
+    alerts = _before_the_end(current, "window_start")
     minutes = rows_of(alerts.select(F.minute("window_start"), "total_clicks", "fraud_clicks", "flood_clicks"))
     assert minutes == [(0, 2, 2, 1), (1, 1, 1, 1), (2, 1, 1, 1)]
 
@@ -124,3 +120,17 @@ def test_continuous_queries_run_together(spark, tmp_path, topics):
 def test_unknown_scope_is_refused(spark, tmp_path, topics):
     with pytest.raises(ValueError, match="scope"):
         _run(spark, topics, tmp_path, click_scope="other")
+
+
+def test_command_line(spark, tmp_path, capsys):
+    topics, root = tmp_path / "topics", tmp_path / "lake"
+    encode_events(click_frame(spark, [{"time_since_impression_ms": 5}])).write.parquet(f"{topics}/ad-clicks")
+    encode_events(conversion_frame(spark, [{}])).write.parquet(f"{topics}/ad-conversions")
+    encode_events(click_frame(spark, [{}]).select("event_id")).write.parquet(f"{topics}/ad-impressions")
+    common = ["--root", str(root), "--alert-mode", "update"]
+    main(["run", *common, "--format", "parquet", "--topics", str(topics), "--click-scope", "batch", "--once"])
+    main(["report", *common])
+    shown = capsys.readouterr().out
+    assert "Silver: share of fraudulent clicks" in shown and "100.0" in shown
+    reports = all_reports(spark, TablePaths(str(root)), "update")
+    assert [frame.count() for frame in reports.values()] == [1, 1, 1, 1, 0]

@@ -10,7 +10,7 @@ from adstream import (
     fraud_alerts,
 )
 from adstream.functions.rules import instant_click
-from adstream.schemas import GOLD_ALERT, SILVER_CLICK, SILVER_CONVERSION
+from adstream.schemas import SILVER_CLICK, SILVER_CONVERSION
 from adstream.sources import tables
 from adstream.streaming.sinks import start_alerts
 from conftest import F, NOON, at, click_frame, conversion_frame, flags, rows_of, run_to_end
@@ -56,12 +56,7 @@ def test_late_rows(spark, tmp_path, feed, mode):
     alerts = fraud_alerts(unflagged(source.stream()))
     query = start_alerts(alerts, path, str(tmp_path / "checkpoint"), mode, trigger=NOW)
     query.awaitTermination()
-    if mode == "append":
-        found = tables.read_table(spark, path, GOLD_ALERT)
-    elif mode == "update":
-        found = tables.read_upserts(spark, path, GOLD_ALERT, ["campaign_id", "window_start", "window_end"])
-    else:
-        found = tables.read_latest(spark, path, GOLD_ALERT)
+    found = tables.read_alerts(spark, path, mode)
     minutes = [(r["window_start"].minute, r["total_clicks"]) for r in found.orderBy("window_start").collect()]
     kept = [(0, 1), (4, 2), (14, 2)]
     head = [(40, 1), (41, 1)]
