@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from adstream.config import TablePaths
 from adstream.functions.rules import percentage
-from adstream.schemas import CLICK, GOLD_ALERT, SILVER_CLICK, SILVER_CONVERSION
+from adstream.schemas import CLICK, SILVER_CLICK, SILVER_CONVERSION
 from adstream.sources import tables
 
 
