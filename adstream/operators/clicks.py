@@ -27,7 +27,9 @@ def campaigns_per_address(clicks: DataFrame, *scope: str) -> DataFrame:
     )
 
 
-def _flag(clicks: DataFrame, rules: FraudRules, *scope: str) -> DataFrame:
+def _flag(
+    clicks: DataFrame, rules: FraudRules, *scope: str, workspace: str | None = None
+) -> DataFrame:
     users = clicks_per_user(clicks, *scope).withColumn(
         "flagged", over_limit(F.col("click_count"), rules.flood_clicks)
     )
@@ -41,6 +43,7 @@ def _flag(clicks: DataFrame, rules: FraudRules, *scope: str) -> DataFrame:
             Grouping("is_bot_ip", (*scope, "ip_address"), addresses),
         ],
         rules.limits,
+        workspace,
     )
     return finish_click_flags(marked, rules)
 
@@ -54,14 +57,17 @@ def finish_click_flags(marked: DataFrame, rules: FraudRules) -> DataFrame:
     ).select(SILVER_CLICK.fieldNames())
 
 
-def flag_clicks(clicks: DataFrame, rules: FraudRules = FraudRules()) -> DataFrame:
+def flag_clicks(
+    clicks: DataFrame, rules: FraudRules = FraudRules(), workspace: str | None = None
+) -> DataFrame:
     """Flag the clicks of one bounded frame, such as a table or a micro-batch.
 
-    The whole frame is the scope of the two counting rules.
+    The whole frame is the scope of the two counting rules. Their verdicts are kept
+    in the ``workspace`` folder (see ``mark_rows``) while the result is in use.
     """
     if clicks.isStreaming:
         raise ValueError("the scope of flag_clicks is a bounded frame; use it in foreachBatch")
-    return _flag(clicks, rules)
+    return _flag(clicks, rules, workspace=workspace)
 
 
 def flag_clicks_windowed(clicks: DataFrame, rules: FraudRules = FraudRules()) -> DataFrame:

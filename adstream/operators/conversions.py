@@ -74,20 +74,23 @@ def _join_streams(
     """Outer join whose state the watermarks and the time range keep bounded.
 
     A much-used click id is spread over ``orphan_salts`` cells of the state; the
-    narrow click rows are repeated for each cell.
+    narrow click rows are repeated for each cell. Rows without an id or a time would
+    stay in the state for ever: such clicks are left out, and such conversions are
+    orphans at once.
     """
-    salts = F.lit(rules.orphan_salts)
-    spread = F.when(_unmatchable(), _row_hash()).otherwise(F.pmod(_row_hash(), salts).cast("long"))
-    left = conversions.withColumn("_cell", spread)
-    right = clicks.filter(F.col("event_id").isNotNull()).select(
+    salts = rules.orphan_salts
+    left = conversions.filter(~_unmatchable()).withColumn("_cell", F.pmod(_row_hash(), F.lit(salts)))
+    right = clicks.filter(F.col("event_id").isNotNull() & F.col("timestamp").isNotNull()).select(
         F.col("event_id").alias("_click"),
         F.col("timestamp").alias("_click_time"),
-        F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_click_cell"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_click_cell"),
         F.lit(True).alias("_found"),
     )
     same = (F.col("click_id") == F.col("_click")) & (F.col("_cell") == F.col("_click_cell"))
     near = _in_reach(F.col("_click_time"), F.col("timestamp"), rules.tolerance, prior_only)
-    return left.join(right, same & near, "left")
+    joined = left.join(right, same & near, "left").select(*conversions.columns, "_found")
+    alone = conversions.filter(_unmatchable()).withColumn("_found", F.lit(False))
+    return joined.unionByName(alone)
 
 
 def _join_clicks(

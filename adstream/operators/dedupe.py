@@ -12,10 +12,13 @@ def dedupe_events(events: DataFrame, key: str = "event_id") -> DataFrame:
     In a batch the earliest row of an id wins (ties by the other columns), so the
     result depends on the data alone. It is an aggregate rather than a ranking:
     copies collapse before the shuffle, however many an id has. A stream needs a
-    watermark and forgets an id once the watermark has passed it.
+    watermark and forgets an id once the watermark has passed it; rows without a
+    time, which it could not forget, are all kept as well.
     """
-    known = events.filter(F.col(key).isNotNull())
-    unknown = events.filter(F.col(key).isNull())
+    no_identity = F.col(key).isNull()
+    if events.isStreaming:
+        no_identity = no_identity | F.col("timestamp").isNull()
+    known, unknown = events.filter(~no_identity), events.filter(no_identity)
     if events.isStreaming:
         return known.dropDuplicatesWithinWatermark([key]).unionByName(unknown)
     rest = [name for name in events.columns if name not in (key, "timestamp")]

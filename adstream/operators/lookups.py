@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adstream.config import LookupLimits
-from adstream.session import has_checkpoint_dir
+from adstream.session import has_checkpoint_dir, scratch_path
 
 
 @dataclass(frozen=True)
@@ -38,15 +38,18 @@ def _key_bytes(keys: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a + b, [F.octet_length(F.col(k).cast("string")) for k in keys])
 
 
-def mark_rows(rows: DataFrame, groupings: list[Grouping], limits: LookupLimits) -> DataFrame:
+def mark_rows(
+    rows: DataFrame, groupings: list[Grouping], limits: LookupLimits, workspace: str | None = None
+) -> DataFrame:
     """Add one boolean column per grouping, named after it.
 
     The flag is NULL when a key is NULL, TRUE when the row's group is flagged and
     FALSE otherwise. The small remainder of each grouping that matters, flagged or
-    very big groups, is computed once and checkpointed, all groupings in one job.
-    Where no checkpoint folder is configured nothing is measured, and the shuffle
-    form is planned.
+    very big groups, is computed once, all groupings in one job, and written to the
+    ``workspace``, by default a new folder below the session's checkpoint folder.
+    Where there is neither, nothing is measured and the shuffle form is planned.
     """
+    spark = rows.sparkSession
     relevant = [
         g.verdicts.filter(_keys_present(g.keys))
         .filter(F.col("flagged") | (F.col("n_rows") >= limits.heavy_rows))
@@ -59,7 +62,7 @@ def mark_rows(rows: DataFrame, groupings: list[Grouping], limits: LookupLimits)
         )
         for g in groupings
     ]
-    if not has_checkpoint_dir(rows.sparkSession):
+    if workspace is None and not has_checkpoint_dir(spark):
         for grouping, found in zip(groupings, relevant):
             rows = _mark_by_shuffle(rows, grouping, found, limits)
         return rows
@@ -72,7 +75,9 @@ def mark_rows(rows: DataFrame, groupings: list[Grouping], limits: LookupLimits)
         mine = F.col("flagged") & (F.col("grouping") == g.name)
         totals.append(F.count_if(mine).alias(f"rows_{g.name}"))
         totals.append(F.sum(F.when(mine, F.col("key_bytes"))).alias(f"bytes_{g.name}"))
-    measured = together.observe(sizes, *totals).checkpoint()
+    workspace = workspace or scratch_path(spark, "verdicts")
+    together.observe(sizes, *totals).write.mode("overwrite").parquet(workspace)
+    measured = spark.read.schema(together.schema).parquet(workspace)
     size_of = sizes.get
 
     for g in groupings:

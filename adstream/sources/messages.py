@@ -57,13 +57,14 @@ def read_messages(
     """Unparsed messages from any source that has a ``value`` column.
 
     Files of messages need no connector: Parquet with a binary ``value``, or text
-    with one message per line.
+    with one message per line. Files that expire before they are read are passed over.
     """
-    reader = spark.readStream if streaming else spark.read
-    reader = reader.format(source_format).options(**options)
+    reader = (spark.readStream if streaming else spark.read).format(source_format)
+    if source_format in ("parquet", "text"):
+        reader = reader.option("ignoreMissingFiles", "true")
     if source_format == "parquet":
         reader = reader.schema("value BINARY")
-    return reader.load().select("value")
+    return reader.options(**options).load().select("value")
 
 
 def read_events(

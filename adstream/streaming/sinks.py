@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from adstream.config import FraudRules
 from adstream.operators.clicks import flag_clicks
 from adstream.operators.parse import encode_events
-from adstream.sources import tables
+from adstream.sources import storage, tables
 
 Trigger = dict[str, object]
 
@@ -77,12 +77,15 @@ def start_click_flags(
     tables.check_owner(clicks.sparkSession, path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        workspace = f"{checkpoint}-verdicts"
         batch.persist()
         try:
             if not batch.isEmpty():
-                tables.append_batch(flag_clicks(batch, rules), path, batch_id, table_format)
+                flagged = flag_clicks(batch, rules, workspace)
+                tables.append_batch(flagged, path, batch_id, table_format)
         finally:
             batch.unpersist()
+            storage.delete(batch.sparkSession, workspace)
 
     return start_batches(clicks, write, checkpoint, name, trigger)
 

@@ -51,6 +51,14 @@ def test_entry(spark):
     assert contract.entry(spark).count() == 192
 
 
+def test_alerts_count_every_click_once(spark):
+    from pyspark.sql import functions as F
+
+    for name in ("alerts_1min", "alerts_10min", "alerts_daily"):
+        alerts = contract.queries()[name](spark, f"{TESTDATA}/sf0.01")
+        assert alerts.agg(F.sum("total_clicks")).first()[0] == 2006
+
+
 # Counts of the fixture notes, at the scale of their discriminating column.
 def test_known_counts(spark):
     from pyspark.sql import functions as F
