@@ -112,7 +112,8 @@ def _join_clicks(
         .select("_click", "_click_time", "_copies", F.explode(F.sequence("_first", "_last")).alias("_click_day"))
     )
     day = day_number(time, conversions.schema["timestamp"].dataType)
-    left = conversions.withColumn("_day", F.when(_unmatchable(), F.pmod(_row_hash(), F.lit(2**31 - 1)).cast("int")).otherwise(day))
+    any_day = F.pmod(_row_hash(), F.lit(2**31 - 1)).cast("int")
+    left = conversions.withColumn("_day", F.when(_unmatchable(), any_day).otherwise(day))
     same = (F.col("click_id") == F.col("_click")) & (F.col("_day") == F.col("_click_day"))
     near = _in_reach(F.col("_click_time"), time, tolerance, prior_only)
     joined = left.join(right, same & near, "left")
@@ -121,10 +122,12 @@ def _join_clicks(
 
 def _repeat(rows: DataFrame, times: str) -> DataFrame:
     """Each row as often as the column says (once if NULL), without long arrays."""
-    n, step = F.coalesce(F.col(times), F.lit(1)), F.lit(_COPIES_PER_STEP)
-    steps = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(coalesce({times}, 1) - 1) div {_COPIES_PER_STEP}")))
-    within = F.explode(F.sequence(F.lit(1).cast("long"), F.least(step, n - F.col("_step") * step)))
-    return rows.withColumn("_step", steps).withColumn("_copy", within)
+    last_step = F.expr(f"(coalesce({times}, 1) - 1) div {_COPIES_PER_STEP}")
+    left_over = F.coalesce(F.col(times), F.lit(1)) - F.col("_step") * _COPIES_PER_STEP
+    in_step = F.least(F.lit(_COPIES_PER_STEP), left_over)
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    steps = rows.withColumn("_step", F.explode(F.sequence(zero, last_step)))
+    return steps.withColumn("_copy", F.explode(F.sequence(one, in_step)))
 
 
 def _with_reach(
