@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adstream.config import FraudRules
+from adstream.config import FraudRules, LookupLimits
 from adstream.functions.eventtime import day_number, duration, with_window_start
 from adstream.schemas import SILVER_CONVERSION
 
 _COPIES_PER_STEP = 10_000
+_HEAVY_CELLS = 256
 
 
 def flag_orphans(
@@ -34,7 +35,7 @@ def flag_orphans(
     elif per_click:
         joined = _join_clicks(conversions, clicks, rules.tolerance, prior_only)
     else:
-        left, reach, same, found = _with_reach(conversions, clicks, rules.tolerance, prior_only)
+        left, reach, same, found = _with_reach(conversions, clicks, rules, prior_only)
         joined = left.join(reach, same, "left").withColumn("_found", found)
     orphan = ~F.coalesce(F.col("_found"), F.lit(False))
     return joined.withColumns({"is_orphan_conversion": orphan, "is_fraud": orphan}).select(
@@ -49,7 +50,7 @@ def orphan_conversions(
     prior_only: bool = False,
 ) -> DataFrame:
     """Only the orphans, as an anti-join of tables; columns stay as they are."""
-    left, reach, same, found = _with_reach(conversions, clicks, rules.tolerance, prior_only)
+    left, reach, same, found = _with_reach(conversions, clicks, rules, prior_only)
     return left.join(reach, same & found, "left_anti").select(conversions.columns)
 
 
@@ -109,7 +110,8 @@ def _join_clicks(
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_first", day_number(F.col("_click_time") - duration(tolerance), time_type))
         .withColumn("_last", day_number(F.col("_click_time") + duration(tolerance), time_type))
-        .select("_click", "_click_time", "_copies", F.explode(F.sequence("_first", "_last")).alias("_click_day"))
+        .withColumn("_click_day", F.explode(F.sequence("_first", "_last")))
+        .select("_click", "_click_time", "_copies", "_click_day")
     )
     day = day_number(time, conversions.schema["timestamp"].dataType)
     any_day = F.pmod(_row_hash(), F.lit(2**31 - 1)).cast("int")
@@ -131,7 +133,7 @@ def _repeat(rows: DataFrame, times: str) -> DataFrame:
 
 
 def _with_reach(
-    conversions: DataFrame, clicks: DataFrame, tolerance: str, prior_only: bool
+    conversions: DataFrame, clicks: DataFrame, rules: FraudRules, prior_only: bool
 ) -> tuple[DataFrame, DataFrame, Column, Column]:
     """Both sides of a join with at most one partner per conversion, its keys and its test.
 
@@ -142,6 +144,7 @@ def _with_reach(
     are aggregates that combine before the shuffle.
     """
     time, own, start = F.col("timestamp"), F.col("_own"), F.col("_start")
+    tolerance = rules.tolerance
     windows = tolerance if prior_only else f"{tolerance} {tolerance}"
     width = duration(windows)
     known = clicks.filter(F.col("event_id").isNotNull() & time.isNotNull()).select("event_id", "timestamp")
@@ -161,6 +164,36 @@ def _with_reach(
     left = with_window_start(
         conversions.withColumn("_earliest", earliest), "_start", windows, time="_earliest"
     ).withColumn("_start", F.when(_unmatchable(), anywhere).otherwise(start))
-    same = (F.col("click_id") == F.col("_click")) & (start == F.col("_click_start"))
+    left, reach, same = _spread_heavy(conversions, left, reach, rules.limits)
+    same = same & (F.col("click_id") == F.col("_click")) & (start == F.col("_click_start"))
     found = (F.col("_last") >= earliest) | (F.col("_first") <= latest)
     return left, reach, same, found
+
+
+def _spread_heavy(
+    conversions: DataFrame, left: DataFrame, reach: DataFrame, limits: LookupLimits
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Split the conversions of a much-used click id over cells, as a part of the join key.
+
+    Only the most used ids are split, so the broadcast is bounded by ``max_rows`` ids
+    of at most ``max_key_bytes``, and only their few windows are repeated per cell.
+    """
+    heavy = (
+        conversions.filter(F.octet_length("click_id") <= limits.max_key_bytes)
+        .groupBy("click_id")
+        .agg(F.count(F.lit(1)).alias("_uses"))
+        .filter(F.col("_uses") >= limits.heavy_rows)
+        .orderBy(F.col("_uses").desc(), "click_id")
+        .limit(limits.max_rows)
+        .select(F.col("click_id").alias("_heavy"))
+    )
+    is_heavy, zero = F.col("_heavy").isNotNull(), F.lit(0).cast("long")
+    cell = F.when(is_heavy, F.pmod(_row_hash(), F.lit(_HEAVY_CELLS))).otherwise(zero)
+    last_cell = F.when(is_heavy, F.lit(_HEAVY_CELLS - 1).cast("long")).otherwise(zero)
+    left = left.join(F.broadcast(heavy), F.col("click_id") == F.col("_heavy"), "left")
+    reach = reach.join(F.broadcast(heavy), F.col("_click") == F.col("_heavy"), "left")
+    return (
+        left.withColumn("_cell", cell).drop("_heavy"),
+        reach.withColumn("_click_cell", F.explode(F.sequence(zero, last_cell))).drop("_heavy"),
+        F.col("_cell") == F.col("_click_cell"),
+    )

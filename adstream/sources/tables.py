@@ -16,7 +16,9 @@ from adstream.schemas import GOLD_ALERT
 from adstream.sources import storage
 
 
-def create_if_absent(spark: SparkSession, path: str, schema: StructType, table_format: str = "parquet") -> None:
+def create_if_absent(
+    spark: SparkSession, path: str, schema: StructType, table_format: str = "parquet"
+) -> None:
     """Make the table readable before the first row is written."""
     if table_format == "parquet":
         storage.make_directory(spark, path)

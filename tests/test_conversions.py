@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from adstream import FraudRules, flag_orphans, orphan_conversions
+from adstream import FraudRules, LookupLimits, flag_orphans, orphan_conversions
 from adstream.schemas import CONVERSION, SILVER_CONVERSION
 from conftest import F, NOON, at, click_frame, conversion_frame, flags, plain_shuffle, plan_of, rows_of
 
@@ -100,8 +100,11 @@ CONVERSIONS = st.lists(
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(clicks=CLICKS, conversions=CONVERSIONS, prior_only=st.booleans())
-def test_all_forms_equal_brute_force(spark, clicks, conversions, prior_only):
+@given(clicks=CLICKS, conversions=CONVERSIONS, prior_only=st.booleans(), heavy=st.booleans())
+def test_all_forms_equal_brute_force(spark, clicks, conversions, prior_only, heavy):
+    # In half of the cases an id counts as much-used as soon as it occurs twice.
+    rules = FraudRules(limits=LookupLimits(heavy_rows=2) if heavy else LookupLimits())
+
     def moment(minutes):
         return None if minutes is None else NOON + dt.timedelta(minutes=minutes)
 
@@ -119,11 +122,11 @@ def test_all_forms_equal_brute_force(spark, clicks, conversions, prior_only):
         [{"event_id": f"v{i}", "click_id": c, "timestamp": moment(t)} for i, (c, t) in enumerate(conversions)],
     )
     for per_click in (True, False):
-        flagged = flag_orphans(v, k, prior_only=prior_only, per_click=per_click)
+        flagged = flag_orphans(v, k, rules, prior_only=prior_only, per_click=per_click)
         assert flags(flagged, "is_orphan_conversion") == {e: n == 0 for e, n in expected.items()}
         counts = dict(flagged.groupBy("event_id").count().collect())
         assert counts == {e: max(n, 1) if per_click else 1 for e, n in expected.items()}
-    orphans = orphan_conversions(v, k, prior_only=prior_only)
+    orphans = orphan_conversions(v, k, rules, prior_only=prior_only)
     assert rows_of(orphans, "event_id") == sorted((e,) for e, n in expected.items() if n == 0)
 
 
@@ -143,6 +146,25 @@ def test_conversions_without_click_id_are_spread(spark):
             assert sum(sizes) == 20_000 and max(sizes) < 7_000
 
 
+def test_a_much_used_click_id_is_split(spark):
+    conversions = spark.range(20_000, numPartitions=8).select(
+        F.concat(F.lit("v"), "id").alias("event_id"),
+        F.lit("k").alias("click_id"),
+        *[F.lit(None).cast("string").alias(c) for c in ("impression_id", "user_id", "campaign_id")],
+        F.lit("purchase").alias("conversion_type"),
+        F.lit(1.0).alias("revenue_usd"),
+        F.lit(NOON).alias("timestamp"),
+        F.lit("normal").alias("fraud_label"),
+    )
+    clicks = click_frame(spark, [{"event_id": "k"}])
+    rules = FraudRules(limits=LookupLimits(heavy_rows=1000))
+    with plain_shuffle(spark):
+        flagged = flag_orphans(conversions, clicks, rules, per_click=False)
+        parts = flagged.groupBy(F.spark_partition_id()).agg(F.count_if("is_fraud"), F.count("*")).collect()
+    assert sum(p[1] for p in parts) == 0 and sum(p[2] for p in parts) == 20_000
+    assert max(p[2] for p in parts) < 7_000
+
+
 def test_click_side_is_narrow(spark, tmp_path):
     click_frame(spark, [{}]).write.parquet(str(tmp_path / "clicks"))
     plan = plan_of(flag_orphans(conversion_frame(spark, [{}]), spark.read.parquet(str(tmp_path / "clicks"))))
