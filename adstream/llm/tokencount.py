@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adstream.llm.shingles import texts
+from adstream.llm.workercache import worker_cached
 
 _MAX_NODES = 200_000
-_MAX_WORDS = 400_000
+_MAX_WORDS = 1_500_000
 _SCALE = 1_000_000
 WORD_START = "▁"
 
@@ -59,13 +60,10 @@ class PrefixTrie:
     def clear(self) -> None:
         self.children: list[dict[str, int]] = [{}]
         self.best: list[tuple[int, int]] = [(0, 0)]
-        self.terminals: dict[str, int] = {}
+        self.terminals: dict[int, int] = {}
 
     def count(self, word: str) -> int:
-        known = self.terminals.get(word)
-        if known is not None:
-            return known
-        if len(self.best) > _MAX_NODES or len(self.terminals) > _MAX_WORDS:
+        if len(self.best) > _MAX_NODES:
             self.clear()
         node, path, end = 0, [(0, 0)], 0
         children, best, costs, longest = self.children, self.best, self.costs, self.longest
@@ -96,18 +94,20 @@ class PrefixTrie:
                 best.append(found)
             else:
                 node = -1
-        tokens = path[end][1]
         if keep:
-            self.terminals[word] = tokens
-        return tokens
+            self.terminals[node] = path[end][1]
+        return path[end][1]
 
 
 def _counts(path: str | None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, known = PrefixTrie(load_costs(path or public_pieces())), {}
+        file = path or public_pieces()
+        trie = worker_cached(("trie", file), lambda: PrefixTrie(load_costs(file)))
+        known = worker_cached(("token counts", file), dict)
         for batch in batches:
             split = [t.split() if t else [] for t in texts(batch.column(0))]
-            for word in {w for words in split for w in words}.difference(known):
+            # In order, words of one prefix follow each other and find its nodes.
+            for word in sorted(set().union(*split).difference(known)):
                 known[word] = trie.count(WORD_START + word.decode())
             yield pa.record_batch(
                 [
