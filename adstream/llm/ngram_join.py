@@ -8,12 +8,13 @@ rarest first by a sketch of the shingle counts of the whole corpus (fixed size,
 in Spark), so that passages and lines of many documents come last. A cell is the sets
 that share one such shingle; shingles with the same sets make one cell.
 
-Inside a cell the R-tree bounds overlaps by summed minima of group counts and exact
-intersections verify what is left. Only links that merge components come out, so a
-group of any size gives as many rows as it has sets. Big cells are cut into blocks:
-first rounds give each set one cell and block, which merges dense groups cheaply; the
-last round takes every cell that still holds two components, in all pairs of its
-blocks. That makes the components exact.
+Inside a cell the R-tree bounds overlaps by summed minima of group counts. First it does
+so on count vectors alone, and sets that have no partner left in a cell leave it. For the others, exact
+intersections verify what the tree lets through. Only links that merge components
+come out, so a group of any size gives as many rows as it has sets. Big cells are cut
+into blocks: first rounds give each set one cell and block, which merges dense groups
+cheaply; the last round takes every cell that still holds two components, where the
+sets outside its main component meet all of its blocks. That makes the components exact.
 """
 
 from __future__ import annotations
@@ -24,16 +25,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adstream.llm.components import connected_components
-from adstream.llm.rtree import cluster, count_vector
+from adstream.llm.rtree import CountVectorTree, cluster, count_vector
 from adstream.llm.scratch import Scratch
 from adstream.llm.shingles import WordHashes, shingle_sets, texts
 
-GROUPS = 128
-_SKETCH_BITS = 20
+GROUPS = 512
+_FINE_GROUPS = 4096
+_SKETCH_BITS = 22
 _SKETCH_CHUNK = 1 << 12
 _SHINGLES_PER_BLOCK = 1_000_000
 _CELL_SETS = 4096
@@ -50,37 +52,48 @@ def _node(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), seed=len(shingles))).view(np.int64))
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each; their length tells which."""
+    kind = next(k for k in ("u1", "<u2", "<u4", "<u8") if counts.max() < 256 ** np.dtype(k).itemsize)
+    return counts.astype(kind).tobytes()
+
+
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // size}").astype(np.int64)
+
+
 def _sketch_cells(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - _SKETCH_BITS)).astype(np.int64)
 
 
-def _measure(width: int) -> Callable:
-    """Per row its set's node and size; at a task's end its part of the sketch."""
+def _measure(width: int, groups: int) -> Callable:
+    """Per row its set's node, size and count vector; at a task's end its part of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = WordHashes(), np.zeros(1 << _SKETCH_BITS, np.int64)
-        names = ["row_key", "n_shingles", "node", "chunk", "counts"]
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        names = ["row_key", "n_shingles", "node", "point", "chunk", "counts"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
         for batch in batches:
-            sizes, nodes = [], []
+            sizes, nodes, points = [], [], []
             for s in shingle_sets(texts(batch.column(1)), width, hashes):
                 sizes.append(len(s))
                 nodes.append(_node(s) if len(s) else None)
+                points.append(_packed(count_vector(s, groups)) if len(s) else None)
                 np.add.at(counts, _sketch_cells(s), 1)
             none = [None] * len(sizes)
-            columns = [batch.column(0), sizes, nodes, none, none]
+            columns = [batch.column(0), sizes, nodes, points, none, none]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
         for chunk, part in enumerate(counts.reshape(-1, _SKETCH_CHUNK)):
             if part.any():
-                row = [[None], [None], [None], [chunk], [part.astype("<i8").tobytes()]]
+                row = [[None], [None], [None], [None], [chunk], [_packed(part)]]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(row, types)], names=names)
 
     return run
 
 
 def _add_parts(parts: pd.DataFrame) -> pd.DataFrame:
-    total = np.sum([np.frombuffer(c, "<i8") for c in parts["counts"]], axis=0)
-    return pd.DataFrame({"chunk": [parts["chunk"].iloc[0]], "counts": [total.astype("<i8").tobytes()]})
+    total = np.sum([_unpacked(c, _SKETCH_CHUNK) for c in parts["counts"]], axis=0)
+    return pd.DataFrame({"chunk": [parts["chunk"].iloc[0]], "counts": [_packed(total)]})
 
 
 def _prefixes(width: int, percent: int, blocks: int, sketch) -> Callable:
@@ -170,34 +183,101 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from finish(parts)
 
 
-def _vectors(width: int) -> Callable:
+def _fine_points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Count vectors with more groups, whose bound is nearly exact."""
+    for batch in batches:
+        sets = [np.frombuffer(s, np.uint64) for s in batch.column(1).to_pylist()]
+        points = pa.array([_packed(count_vector(s, _FINE_GROUPS)) for s in sets], pa.binary())
+        yield pa.record_batch([batch.column(0), points], names=["node", "point"])
+
+
+def _sets(width: int) -> Callable:
+    """Each set's node and shingles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             sets = [s for s in shingle_sets(texts(batch.column(0)), width, hashes) if len(s)]
-            yield pa.record_batch(
-                [
-                    pa.array([_node(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                ],
-                names=["node", "shingles"],
-            )
+            data = [s.tobytes() for s in sets]
+            columns = [pa.array([_node(s) for s in sets], pa.int64()), pa.array(data, pa.binary())]
+            yield pa.record_batch(columns, names=["node", "shingles"])
 
     return run
 
 
-def _cluster_cell(percent: int, groups: int) -> Callable:
-    def run(cell: pd.DataFrame) -> pd.DataFrame:
-        cell = cell.drop_duplicates("node")
-        sets = [np.frombuffer(s, np.uint64) for s in cell["shingles"]]
-        nodes, links = cell["node"].to_numpy(), []
-        if len(sets) > 1:
+def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """The rows of every group of a stream sorted by its first columns, and the group's key."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:n_keys] != key:
+                if rows:
+                    yield key, rows
+                key, rows = row[:n_keys], []
+            rows.append(row[n_keys:])
+    if rows:
+        yield key, rows
+
+
+def _table(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(names)
+    return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=names)
+
+
+def _in_batches(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    ready = []
+    for row in rows:
+        ready.append(row)
+        if len(ready) >= 10_000:
+            yield _table(ready, names)
+            ready = []
+    yield _table(ready, names)
+
+
+def _candidates(percent: int, groups: int) -> Callable:
+    """Of each cell the sets for which the tree's bound allows a link to another component.
+
+    A row has token, i, j, node, component, visiting and the point. Only visiting sets
+    ask, and all may be found.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for (token, *_), rows in _groups(batches, 3):
+            rows = list({r[0]: r for r in rows}.values())
+            if len(rows) < 2:
+                continue
+            points = np.stack([_unpacked(r[3], groups) for r in rows]).astype(np.int32)
+            component, sizes = np.array([r[1] for r in rows], np.int64), points.sum(axis=1)
+            tree = CountVectorTree(points, sizes, percent)
+            kept = set()
+            # Where all ask, a set that was found need not: its own partners find it.
+            every = all(r[2] for r in rows)
+            for x, (*_, visiting, _) in enumerate(rows):
+                if visiting and not (every and x in kept):
+                    near = tree.query(points[x], int(sizes[x]))
+                    near = near[component[near] != component[x]]
+                    if len(near):
+                        kept.add(x)
+                        kept.update(near.tolist())
+            yield from ((token, rows[x][0]) for x in kept)
+
+    return lambda batches: _in_batches(ask(batches), ["token", "node"])
+
+
+def _links_of_cells(percent: int, groups: int) -> Callable:
+    """Links that merge the components of each cell; a row has token, i, j, node, component, shingles."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for _, rows in _groups(batches, 3):
+            rows = list({r[0]: r for r in rows}.values())
+            if len(rows) < 2:
+                continue
+            sets = [np.frombuffer(r[2], np.uint64) for r in rows]
             points = np.stack([count_vector(s, groups) for s in sets])
-            links = cluster(points, sets, cell["component"].to_numpy(), percent)
-        ends = np.array(links, np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": nodes[ends[:, 0]], "b": nodes[ends[:, 1]]})
+            for x, y in cluster(points, sets, np.array([r[1] for r in rows], np.int64), percent):
+                yield rows[x][0], rows[y][0]
 
-    return run
+    return lambda batches: _in_batches(join(batches), ["a", "b"])
 
 
 def near_duplicates(
@@ -222,7 +302,8 @@ def near_duplicates(
     rows = docs.select(F.col(id_col).cast("long").alias("row_key"), F.col(text_col).cast("string").alias("body"))
     measured = scratch.save(
         rows.mapInArrow(
-            _measure(width), "row_key long, n_shingles long, node long, chunk int, counts binary"
+            _measure(width, groups),
+            "row_key long, n_shingles long, node long, point binary, chunk int, counts binary",
         ),
         "measured",
     )
@@ -255,9 +336,9 @@ def _links(
     spark = rows.sparkSession
     sketch_parts = measured.filter("chunk IS NOT NULL").select("chunk", "counts")
     summed = sketch_parts.groupBy("chunk").applyInPandas(_add_parts, "chunk int, counts binary").collect()
-    sketch = np.zeros((1 << _SKETCH_BITS) // _SKETCH_CHUNK * _SKETCH_CHUNK, np.int64).reshape(-1, _SKETCH_CHUNK)
+    sketch = np.zeros(((1 << _SKETCH_BITS) // _SKETCH_CHUNK, _SKETCH_CHUNK), np.int64)
     for row in summed:
-        sketch[row["chunk"]] = np.frombuffer(row["counts"], "<i8")
+        sketch[row["chunk"]] = _unpacked(row["counts"], _SKETCH_CHUNK)
     first_shingles = int(sketch.sum()) * (100 - percent) // 100
     if not first_shingles and not sketch.any():
         return None
@@ -284,41 +365,81 @@ def _links(
     if cells.isEmpty():
         return None
 
-    live = scratch.save(cells.select("node").distinct().join(firsts, "node").select("node", "first"), "live")
-    wanted = live.select("first").distinct()
-    if live.count() <= _BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    needed = rows.join(wanted, F.col("row_key").eqNullSafe(F.col("first")), "left_semi")
-    vectors = needed.select("body").mapInArrow(_vectors(width), "node long, shingles binary")
-    vectors = scratch.save(vectors, "vectors")
+    def reread(nodes: DataFrame, run: Callable, schema: str, name: str) -> DataFrame:
+        """What ``run`` makes of the texts of these nodes, one text each."""
+        wanted = scratch.save(nodes.distinct().join(firsts, "node").select("node", "first"), f"{name}-ids")
+        ids = wanted.select("first").distinct()
+        if wanted.count() <= _BROADCAST_ROWS:
+            ids = F.broadcast(ids)
+        needed = rows.join(ids, F.col("row_key").eqNullSafe(F.col("first")), "left_semi")
+        return scratch.save(needed.select("body").mapInArrow(run, schema), name)
+
+    def streamed(table: DataFrame) -> DataFrame:
+        return table.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+
+    # First by the bound alone, on count vectors: each block of a cell by itself, then
+    # the sets that met nothing there with the cell's other blocks.
+    touched = cells.select("node").distinct().join(firsts, "node").withColumnRenamed("node", "of")
+    points = measured.join(touched, (F.col("node") == F.col("of")) & F.col("row_key").eqNullSafe(F.col("first")))
+    points = scratch.save(points.select("node", "point"), "points")
+    point_columns = ["token", "i", "j", "node", "component", "visiting", "point"]
+
+    def may_link(placed: DataFrame, points: DataFrame, groups: int) -> DataFrame:
+        table = streamed(placed.join(points, "node").select(point_columns))
+        return table.mapInArrow(_candidates(percent, groups), "token long, node long")
+
+    own = _block(F.col("n_sets"), 0).alias("i")
+    placed = cells.select("token", "n_sets", "node", F.col("node").alias("component"), own)
+    met = may_link(placed.withColumn("j", F.col("i")).withColumn("visiting", F.lit(True)), points, groups)
+    met = scratch.save(met, "met")
+    several = placed.filter(F.col("n_sets") > _CELL_SETS)
+    visitors = several.join(met, ["token", "node"], "left_anti")
+    across = _visits(several.withColumn("visiting", F.lit(False)), visitors.withColumn("visiting", F.lit(True)))
+    met = met.unionByName(may_link(across, points, groups)).distinct()
+    cells = scratch.save(cells.join(met, ["token", "node"]), "met-cells")
+    scratch.drop("met", "cells")
+    live = scratch.save(cells.select("node").distinct(), "live")
+    vectors = reread(live, _sets(width), "node long, shingles binary", "sets")
 
     edges = None
+    join = _links_of_cells(percent, groups)
     components = live.select("node", F.col("node").alias("component"))
-    rounds = [*range(_MERGING_ROUNDS), None]
-    for k in rounds:
+    for k in [*range(1, _MERGING_ROUNDS + 1), None]:
         open_cells = cells.join(components, "node")
-        spread = open_cells.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_cells = open_cells.join(spread.filter("low <> high").select("token"), "token")
-        n_blocks = F.ceil(F.col("n_sets") / _CELL_SETS).cast("int")
-        block = F.pmod(F.xxhash64("node", F.lit(k or 0)), n_blocks).cast("int")
+        sizes = open_cells.groupBy("token", "component").agg(F.count("*").alias("n"))
+        spread = sizes.groupBy("token").agg(F.count("*").alias("n"), F.max_by("component", "n").alias("main"))
+        open_cells = open_cells.join(spread.filter("n > 1").select("token", "main"), "token")
+        if k != 1:
+            # Sets with no partner left outside their component leave small cells.
+            small = open_cells.filter(F.col("n_sets") <= _CELL_SETS)
+            tests = [(points, groups)]
+            if k is None:
+                tests.append((vectors.mapInArrow(_fine_points, "node long, point binary"), _FINE_GROUPS))
+            for test in tests:
+                asked = small.select("token", "node", "component", F.lit(0).alias("i"), F.lit(0).alias("j"))
+                met = may_link(asked.withColumn("visiting", F.lit(True)), *test).distinct()
+                small = scratch.save(small.join(met, ["token", "node"]), f"small-{k}-{test[1]}")
+            open_cells = small.unionByName(open_cells.filter(F.col("n_sets") > _CELL_SETS), allowMissingColumns=True)
+            open_cells = scratch.save(open_cells, f"open-{k}")
         if k is None:
-            others = F.explode(F.sequence(F.lit(0), n_blocks - 1))
-            placed = open_cells.select("token", "node", "component", block.alias("own"), others.alias("other"))
-            placed = placed.select(
-                "token",
-                "node",
-                "component",
-                F.least("own", "other").alias("i"),
-                F.greatest("own", "other").alias("j"),
-            )
+            # All that are not of a cell's main component meet all its blocks.
+            placed = open_cells.withColumn("i", _block(F.col("n_sets"), 0))
+            one = placed.filter(F.col("n_sets") <= _CELL_SETS).withColumn("j", F.col("i"))
+            several = placed.filter(F.col("n_sets") > _CELL_SETS)
+            many = _visits(several, several.filter(F.col("component") != F.col("main")))
+            columns = ["token", "i", "j", "node", "component"]
+            placed = one.select(columns).unionByName(many.select(columns))
         else:
             choice = F.min_by(F.struct("token", "n_sets"), F.xxhash64("token", F.lit(k))).alias("cell")
             chosen = open_cells.groupBy("node", "component").agg(choice)
-            chosen = chosen.select("node", "component", "cell.token", "cell.n_sets")
-            placed = chosen.select("token", "node", "component", block.alias("i"), block.alias("j"))
-        placed = placed.join(vectors, "node")
-        found = placed.groupBy("token", "i", "j").applyInPandas(_cluster_cell(percent, groups), "a long, b long")
-        found = scratch.save(found.distinct(), f"links-{k}")
+            block = _block(F.col("cell.n_sets"), k).alias("i")
+            placed = chosen.select("node", "component", "cell.token", block).withColumn("j", F.col("i"))
+        placed = scratch.save(placed, f"placed-{k}")
+        if placed.count() <= _BROADCAST_ROWS:
+            placed = F.broadcast(placed)
+        together = placed.join(vectors, "node")
+        together = streamed(together.select("token", "i", "j", "node", "component", "shingles"))
+        found = scratch.save(together.mapInArrow(join, "a long, b long").distinct(), f"links-{k}")
         edges = found if edges is None else edges.union(found)
         if k is not None:
             labels = connected_components(edges, scratch, f"merge-{k}")
@@ -326,5 +447,20 @@ def _links(
                 "node", F.coalesce("component", "node").alias("component")
             )
             components = scratch.save(components, f"components-{k}")
-    scratch.drop("vectors", "cells")
+    scratch.drop("points", "sets", "met-cells")
     return None if edges.isEmpty() else edges
+
+
+def _block(n_sets: Column, salt: int) -> Column:
+    """The block of its cell that a set belongs to; cells up to a bound have one."""
+    return F.pmod(F.xxhash64("node", F.lit(salt)), F.ceil(n_sets / _CELL_SETS)).cast("int")
+
+
+def _visits(several: DataFrame, visitors: DataFrame) -> DataFrame:
+    """Rows of block pairs (i, j) of big cells: the visitors of i, with all sets of j."""
+    others = F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_sets") / _CELL_SETS).cast("int") - 1))
+    coming = visitors.withColumn("j", others)
+    hosts = coming.select("token", "i", "j").distinct()
+    there = several.withColumnRenamed("i", "j").join(hosts, ["token", "j"])
+    columns = [c for c in there.columns if c in coming.columns]
+    return coming.select(columns).unionByName(there.select(columns))
