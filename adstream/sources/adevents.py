@@ -24,6 +24,12 @@ def _event_name(number: Column) -> Column:
     return F.concat(F.lit("E"), number)
 
 
+def _user_name(number: Column) -> Column:
+    """Numbers under five digits are padded; longer ones stay whole."""
+    digits = number.cast("string")
+    return F.concat(F.lit("U"), F.when(F.length(digits) < 5, F.lpad(digits, 5, "0")).otherwise(digits))
+
+
 def _common(events: DataFrame, kind: str) -> DataFrame:
     k = F.expr("try_cast(get_json_object(props, '$.k') AS INT)")
     number = F.col("event_id")
@@ -34,7 +40,7 @@ def _common(events: DataFrame, kind: str) -> DataFrame:
             "event_type": F.lit(kind),
             "source_type": F.col("event_type"),
             "ip_address": F.concat(F.lit("10.0.0."), F.col("user_id") % 10 + 1),
-            "user_id": F.concat(F.lit("U"), F.lpad(F.col("user_id").cast("string"), 5, "0")),
+            "user_id": _user_name(F.col("user_id")),
             "campaign_id": F.concat(F.lit("C"), F.lpad((F.col("k") % 50 + 1).cast("string"), 3, "0")),
             "impression_id": _event_name(number - 1 - F.col("k") % 3),
             "user_agent": F.lit(None).cast("string"),
@@ -52,7 +58,7 @@ def impressions(events: DataFrame) -> DataFrame:
 
 def clicks(events: DataFrame) -> DataFrame:
     rows = _common(events.filter(F.col("event_type") == "click"), "click")
-    delay = F.round(F.col("value") * 100).cast("int")
+    delay = F.round(F.col("value") * 100).try_cast("int")
     return rows.withColumn("time_since_impression_ms", delay).select(CLICK.fieldNames())
 
 

@@ -88,3 +88,14 @@ def test_declared_schemas():
     assert set(MESSAGES) == set(TOPICS)
     for schema in MESSAGES.values():
         assert isinstance(schema, StructType) and not schema["event_id"].nullable
+
+
+def test_long_user_ids_stay_whole(spark):
+    from adstream.sources import adevents
+
+    row = "0L, TIMESTAMP_NTZ'2024-01-01', {}L, 'click', 1e12D, '{{\"k\": 1}}'"
+    values = ", ".join(f"({row.format(u)})" for u in (7, 123456, 123457))
+    events = spark.sql(f"SELECT * FROM VALUES {values} AS t(event_id, ts, user_id, event_type, value, props)")
+    clicks = adevents.clicks(events).select("user_id", "time_since_impression_ms").collect()
+    assert sorted(r["user_id"] for r in clicks) == ["U00007", "U123456", "U123457"]
+    assert {r["time_since_impression_ms"] for r in clicks} == {None}
