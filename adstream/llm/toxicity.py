@@ -71,38 +71,46 @@ def _counts(text: bytes | None, features: _WordFeatures) -> dict[int, int]:
     return out
 
 
-def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per feature, in how many texts and in how many toxic ones it occurs, added up within the batch."""
     features = _WordFeatures()
     for batch in batches:
-        found = [_counts(t, features) for t in texts(batch.column(0))]
-        yield pa.record_batch(
-            [
-                pa.array([list(c) for c in found], pa.list_(pa.int64())),
-                pa.array([list(c.values()) for c in found], pa.list_(pa.int64())),
-                batch.column(1),
-            ],
-            names=["x", "n", "toxic"],
-        )
+        every, bad = np.zeros(1 << FEATURE_BITS, np.int64), np.zeros(1 << FEATURE_BITS, np.int64)
+        for text, toxic in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
+            found = np.fromiter(_counts(text, features), np.int64)
+            every[found] += 1
+            bad[found] += toxic
+        seen = np.flatnonzero(every)
+        yield pa.record_batch([pa.array(x) for x in (seen, every[seen], bad[seen])], names=["feature", "n", "bad"])
+
+
+def _featurise(wanted: np.ndarray) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = _WordFeatures(wanted)
+        for batch in batches:
+            found = [_counts(t, features) for t in texts(batch.column(0))]
+            yield pa.record_batch(
+                [
+                    pa.array([list(c) for c in found], pa.list_(pa.int64())),
+                    pa.array([list(c.values()) for c in found], pa.list_(pa.int64())),
+                    batch.column(1),
+                ],
+                names=["x", "n", "toxic"],
+            )
+
+    return run
 
 
 def fit(
-    rows: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray, grades: int = GRADES
+    rows: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray, features: np.ndarray, grades: int = GRADES
 ) -> OrdinalModel:
-    """Fit on labelled features and their counts, which enter as ln(1 + n); toxic is 0 or 1.
+    """Fit on the given features and their counts, which enter as ln(1 + n); toxic is 0 or 1.
 
-    Features are those that toxic samples have significantly more often. As labels
-    say yes or no only, the grades above 0 split the toxic samples by how much of
-    these features they have, at equal shares.
+    As labels say yes or no only, the grades above 0 split the toxic samples by how
+    much of these features they have, at equal shares.
     """
-    n, n_toxic = len(rows), int(toxic.sum())
-    size = 1 << FEATURE_BITS
-    every, bad = np.zeros(size), np.zeros(size)
-    for x, y in zip(rows, toxic):
-        every[x] += 1
-        bad[x] += y
-    share = n_toxic / max(n, 1)
-    z = (bad - every * share) / np.sqrt(np.maximum(every * share * (1 - share), 1e-9))
-    features = np.flatnonzero((every >= _MIN_DOCUMENTS) & (z >= _MIN_Z) & (bad >= 2))
+    n, n_toxic, size = len(rows), int(toxic.sum()), 1 << FEATURE_BITS
+    features = np.sort(features)
     index = np.full(size, -1, np.int64)
     index[features] = np.arange(len(features))
     sparse = [index[x][index[x] >= 0] for x in rows]
@@ -152,16 +160,27 @@ def train(
 ) -> OrdinalModel:
     """Fit on at most about ``sample_rows`` labelled rows, chosen by a hash of the id.
 
-    Texts become sets of numbers in the tasks; only these come to the driver, in bounded number.
+    Features are those that toxic samples have significantly more often, by counts added
+    up in Spark. Only these features' counts per sampled text come to the driver.
     """
     known = labels.filter("toxic IS NOT NULL").select(F.col(id_col).alias("_of"), F.col("toxic").cast("int").alias("_y"))
     every = max(1, known.count() // sample_rows)
     sample = known.filter(F.pmod(F.xxhash64("_of"), F.lit(every)) == 0).limit(2 * sample_rows)
     text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_body"))
     rows = text.join(F.broadcast(sample), F.col("_id") == F.col("_of")).select("_body", "_y")
-    found = rows.mapInArrow(_featurise, "x array<long>, n array<long>, toxic int").toArrow()
-    sets, counts = ([np.asarray(x, np.int64) for x in found.column(c).to_pylist()] for c in ("x", "n"))
-    return fit(sets, counts, np.array(found.column("toxic").to_pylist(), np.int64))
+    totals = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).alias("bad")).first()
+    share = totals["bad"] / max(totals["n"], 1)
+    found = rows.mapInArrow(_feature_counts, "feature long, n long, bad long").groupBy("feature")
+    found = found.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    spread = F.sqrt(F.col("n") * F.lit(max(share * (1 - share), 1e-9)))
+    telling = found.filter((F.col("n") >= _MIN_DOCUMENTS) & (F.col("bad") >= 2))
+    telling = telling.filter((F.col("bad") - F.col("n") * F.lit(share)) / spread >= _MIN_Z)
+    features = np.array([r["feature"] for r in telling.select("feature").collect()], np.int64)
+    wanted = np.zeros(1 << FEATURE_BITS, bool)
+    wanted[features] = True
+    sets = rows.mapInArrow(_featurise(wanted), "x array<long>, n array<long>, toxic int").toArrow()
+    x, n = ([np.asarray(v, np.int64) for v in sets.column(c).to_pylist()] for c in ("x", "n"))
+    return fit(x, n, np.array(sets.column("toxic").to_pylist(), np.int64), features)
 
 
 def _score(model) -> Callable:
