@@ -32,6 +32,8 @@ _SPAN = "array<struct<start: int, rank: int, end: int, kind: string>>"
 SAMPLE_DOCUMENTS = 500
 RANDOM_STRINGS = 4000
 THRESHOLD = 0.35
+_KINDS = (True, False)
+_PRIOR = 8.0
 
 
 def _no_spans() -> Column:
@@ -162,9 +164,15 @@ def train(samples: DataFrame) -> list[float]:
         .agg(F.count("*").alias("n"))
         .collect()
     }
+    # A transition that was seen little is judged by how frequent its second character is.
+    ends = [[sum(counts.get((kind, a, b), 0) for a in range(_STATES)) + 0.5 for b in range(_STATES)] for kind in _KINDS]
+    shares = [[n / sum(row) for n in row] for row in ends]
     out = []
     for a in range(_STATES):
-        rows = [[counts.get((kind, a, b), 0) + 0.5 for b in range(_STATES)] for kind in (True, False)]
+        rows = [
+            [counts.get((kind, a, b), 0) + _PRIOR * share[b] for b in range(_STATES)]
+            for kind, share in zip(_KINDS, shares)
+        ]
         sums = [sum(r) for r in rows]
         out += [math.log(x / sums[0]) - math.log(y / sums[1]) for x, y in zip(*rows)]
     return out
