@@ -9,7 +9,7 @@ WITH source AS (
   SELECT event_type AS source_type, event_id AS number, value, k,
          'E' || event_id AS event_id,
          'E' || (event_id - 1 - k % 3) AS impression_id,
-         'U' || lpad(CAST(user_id AS VARCHAR), greatest(5, length(CAST(user_id AS VARCHAR))), '0') AS user_id,
+         'U' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(5, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0') AS user_id,
          'C' || lpad(CAST(1 + k % 50 AS VARCHAR), 3, '0') AS campaign_id,
          '10.0.0.' || (1 + user_id % 10) AS ip_address,
          CAST(NULL AS VARCHAR) AS user_agent,
