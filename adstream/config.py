@@ -10,14 +10,13 @@ class LookupLimits:
     """When a set of flagged keys may be broadcast, and what happens beyond that.
 
     A set is broadcast only after it has been counted and found to be within
-    ``max_rows`` and ``max_bytes``. A larger set is joined by shuffle; then only
-    its ``max_rows`` biggest groups, with keys of at most ``max_key_bytes``, are
-    broadcast, which bounds the broadcast and leaves no big group to the shuffle.
+    ``max_rows`` and ``max_bytes``. A larger set is joined by shuffle; then hashes of
+    its biggest groups, at most ``max_rows`` of them, are broadcast to mark the rows
+    that are spread over cells, a quarter of ``heavy_rows`` in each.
     """
 
     max_rows: int = 200_000
     max_bytes: int = 32 * 1024 * 1024
-    max_key_bytes: int = 128
     heavy_rows: int = 1_000_000
 
 

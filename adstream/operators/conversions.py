@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adstream.config import FraudRules, LookupLimits
 from adstream.functions.eventtime import day_number, duration, with_window_start
+from adstream.operators.lookups import cells_of_heavy, place_in_cells, repeat_in_cells
 from adstream.schemas import SILVER_CONVERSION
+from adstream.session import scratch_path
 
 _COPIES_PER_STEP = 10_000
-_HEAVY_CELLS = 256
 
 
 def flag_orphans(
@@ -175,25 +176,23 @@ def _spread_heavy(
 ) -> tuple[DataFrame, DataFrame, Column]:
     """Split the conversions of a much-used click id over cells, as a part of the join key.
 
-    Only the most used ids are split, so the broadcast is bounded by ``max_rows`` ids
-    of at most ``max_key_bytes``, and only their few windows are repeated per cell.
+    The uses are counted once, by a hash of the id, and written. Where no id has
+    ``heavy_rows`` of them, which is usual, nothing is added to the join. Otherwise at most
+    ``max_rows`` hashes are broadcast, and only the few windows of those ids are repeated.
     """
-    heavy = (
-        conversions.filter(F.octet_length("click_id") <= limits.max_key_bytes)
-        .groupBy("click_id")
-        .agg(F.count(F.lit(1)).alias("_uses"))
-        .filter(F.col("_uses") >= limits.heavy_rows)
-        .orderBy(F.col("_uses").desc(), "click_id")
-        .limit(limits.max_rows)
-        .select(F.col("click_id").alias("_heavy"))
-    )
-    is_heavy, zero = F.col("_heavy").isNotNull(), F.lit(0).cast("long")
-    cell = F.when(is_heavy, F.pmod(_row_hash(), F.lit(_HEAVY_CELLS))).otherwise(zero)
-    last_cell = F.when(is_heavy, F.lit(_HEAVY_CELLS - 1).cast("long")).otherwise(zero)
-    left = left.join(F.broadcast(heavy), F.col("click_id") == F.col("_heavy"), "left")
-    reach = reach.join(F.broadcast(heavy), F.col("_click") == F.col("_heavy"), "left")
-    return (
-        left.withColumn("_cell", cell).drop("_heavy"),
-        reach.withColumn("_click_cell", F.explode(F.sequence(zero, last_cell))).drop("_heavy"),
-        F.col("_cell") == F.col("_click_cell"),
+    spark, sizes = conversions.sparkSession, Observation()
+    uses = (
+        conversions.filter(~_unmatchable())
+        .groupBy(F.xxhash64("click_id").alias("key_hash"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .filter(F.col("n_rows") >= limits.heavy_rows)
     )
+    workspace = scratch_path(spark, "click-uses")
+    uses.observe(sizes, F.sum("n_rows").alias("covered")).write.parquet(workspace)
+    covered = sizes.get["covered"] or 0
+    if not covered:
+        return left, reach, F.lit(True)
+    heavy = cells_of_heavy(spark.read.schema(uses.schema).parquet(workspace), covered, limits)
+    left = place_in_cells(left, F.xxhash64("click_id"), heavy, F.lit(False))
+    reach = repeat_in_cells(reach, F.xxhash64("_click"), heavy, "_click_cell")
+    return left, reach, F.col("_cell") == F.col("_click_cell")

@@ -15,15 +15,12 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adstream.config import LookupLimits
-from adstream.session import has_checkpoint_dir, scratch_path
+from adstream.session import scratch_path
 
 
 @dataclass(frozen=True)
 class Grouping:
-    """Verdicts per group: the key columns, ``n_rows`` and the boolean ``flagged``.
-
-    The last key is a string.
-    """
+    """Verdicts per group: the key columns, ``n_rows`` and the boolean ``flagged``."""
 
     name: str
     keys: tuple[str, ...]
@@ -46,8 +43,8 @@ def mark_rows(
     The flag is NULL when a key is NULL, TRUE when the row's group is flagged and
     FALSE otherwise. The small remainder of each grouping that matters, flagged or
     very big groups, is computed once, all groupings in one job, and written to the
-    ``workspace``, by default a new folder below the session's checkpoint folder.
-    Where there is neither, nothing is measured and the shuffle form is planned.
+    ``workspace``, by default a new folder below the session's checkpoint folder. A
+    session that has none must be given one.
     """
     spark = rows.sparkSession
     relevant = [
@@ -62,11 +59,6 @@ def mark_rows(
         )
         for g in groupings
     ]
-    if workspace is None and not has_checkpoint_dir(spark):
-        for grouping, found in zip(groupings, relevant):
-            rows = _mark_by_shuffle(rows, grouping, found, limits)
-        return rows
-
     by_name = {g.name: part.withColumnRenamed("key", f"key_{g.name}") for g, part in zip(groupings, relevant)}
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), by_name.values())
     sizes = Observation()
@@ -75,6 +67,7 @@ def mark_rows(
         mine = F.col("flagged") & (F.col("grouping") == g.name)
         totals.append(F.count_if(mine).alias(f"rows_{g.name}"))
         totals.append(F.sum(F.when(mine, F.col("key_bytes"))).alias(f"bytes_{g.name}"))
+        totals.append(F.sum(F.when(F.col("grouping") == g.name, F.col("n_rows"))).alias(f"covered_{g.name}"))
     workspace = workspace or scratch_path(spark, "verdicts")
     together.observe(sizes, *totals).write.mode("overwrite").parquet(workspace)
     measured = spark.read.schema(together.schema).parquet(workspace)
@@ -86,7 +79,7 @@ def mark_rows(
         if n_rows <= limits.max_rows and n_bytes <= limits.max_bytes:
             rows = _mark_by_broadcast(rows, g, found)
         else:
-            rows = _mark_by_shuffle(rows, g, found, limits)
+            rows = _mark_by_shuffle(rows, g, found, limits, size_of[f"covered_{g.name}"] or 0)
     return rows
 
 
@@ -109,39 +102,57 @@ def _mark_by_broadcast(rows: DataFrame, grouping: Grouping, found: DataFrame) ->
     )
 
 
+def row_spread(rows: DataFrame) -> Column:
+    """A number per row that spreads rows, copies in different tasks included, alike in every attempt."""
+    hashable = [F.col(name) for name, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    return F.xxhash64(*hashable, F.spark_partition_id())
+
+
+def cells_of_heavy(groups: DataFrame, covered: int, limits: LookupLimits) -> DataFrame:
+    """(_heavy, _cells) for the key hashes of the groups that are split, from ``key_hash`` and ``n_rows``.
+
+    ``covered`` is the sum of ``n_rows``, so at most ``max_rows`` groups have the share asked
+    for: a bound without a sort. Hashes may collide, as they only mark rows to spread.
+    """
+    per_cell = max(1, limits.heavy_rows // 4)
+    least = max(per_cell + 1, -(-covered // limits.max_rows))
+    heavy = groups.groupBy(F.col("key_hash").alias("_heavy")).agg(F.max("n_rows").alias("n"))
+    return heavy.filter(F.col("n") >= least).select("_heavy", F.ceil(F.col("n") / per_cell).alias("_cells"))
+
+
+def place_in_cells(rows: DataFrame, key_hash: Column, heavy: DataFrame, free: Column) -> DataFrame:
+    """Add ``_cell``: a place in the cells of the row's key, or any place where ``free``."""
+    spread = row_spread(rows)
+    cell = F.when(free, spread).when(F.col("_cells").isNotNull(), F.pmod(spread, F.col("_cells")))
+    placed = rows.join(F.broadcast(heavy), key_hash == F.col("_heavy"), "left")
+    return placed.withColumn("_cell", F.coalesce(cell, F.lit(0).cast("long"))).drop("_heavy", "_cells")
+
+
+def repeat_in_cells(rows: DataFrame, key_hash: Column, heavy: DataFrame, name: str) -> DataFrame:
+    """Each row once per cell of its key, the cell's number in a column ``name``."""
+    zero = F.lit(0).cast("long")
+    last = F.coalesce(F.col("_cells"), F.lit(1).cast("long")) - 1
+    repeated = rows.join(F.broadcast(heavy), key_hash == F.col("_heavy"), "left")
+    return repeated.withColumn(name, F.explode(F.sequence(zero, last))).drop("_heavy", "_cells")
+
+
 def _mark_by_shuffle(
-    rows: DataFrame, grouping: Grouping, found: DataFrame, limits: LookupLimits
+    rows: DataFrame, grouping: Grouping, found: DataFrame, limits: LookupLimits, covered: int
 ) -> DataFrame:
     """Too many flagged groups to broadcast.
 
-    The biggest groups, at most ``max_rows`` of them, are broadcast with their
-    verdict. All others are at most a ``1 / max_rows`` share of the table each and
-    are joined by shuffle. Rows that are decided already, or have no key, take part
-    in that shuffle under their map partition's number instead of their key, so they
-    spread evenly; whatever they meet there does not change their verdict.
+    The rows of the biggest groups are marked by a hash of their key, whatever its
+    length, and spread over cells that are part of the join key; if such a group is flagged,
+    it is repeated per cell. Rows without a key take part in the shuffle anywhere.
     """
-    biggest = (
-        found.filter(F.col("key_bytes") <= limits.max_key_bytes)
-        .orderBy(F.col("n_rows").desc(), "key")
-        .limit(limits.max_rows)
-    )
-    decided = biggest.select(
-        *[F.col("key")[k].alias(f"_big_{k}") for k in grouping.keys], F.col("flagged").alias("_big")
-    )
-    others = (
-        found.filter("flagged")
-        .join(F.broadcast(biggest.select("key")), "key", "left_anti")
-        .select(*[F.col("key")[k].alias(f"_other_{k}") for k in grouping.keys], F.lit(True).alias("_other"))
-    )
-    with_big = rows.join(F.broadcast(decided), _matches(rows, grouping.keys, "_big_"), "left")
-    settled = F.col("_big").isNotNull() | ~_keys_present(grouping.keys)
-    *scope, key = grouping.keys
-    spread_key = F.when(settled, F.spark_partition_id().cast("string")).otherwise(F.col(key))
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col("_spread_key") == F.col(f"_other_{key}")] + [F.col(k) == F.col(f"_other_{k}") for k in scope],
+    of_key = F.xxhash64(*[F.col("key")[k] for k in grouping.keys])
+    heavy = cells_of_heavy(found.select(of_key.alias("key_hash"), "n_rows"), covered, limits)
+    flagged = found.filter("flagged").select(
+        *[F.col("key")[k].alias(f"_other_{k}") for k in grouping.keys], F.lit(True).alias("_other")
     )
-    joined = with_big.withColumn("_spread_key", spread_key).join(others, same, "left")
-    return joined.withColumn(
-        grouping.name, _verdict(grouping, F.col("_big"), F.col("_other"))
-    ).select(*rows.columns, grouping.name)
+    flagged_hash = F.xxhash64(*[F.col(f"_other_{k}") for k in grouping.keys])
+    others = repeat_in_cells(flagged, flagged_hash, heavy, "_other_cell")
+    placed = place_in_cells(rows, F.xxhash64(*grouping.keys), heavy, ~_keys_present(grouping.keys))
+    same = _matches(rows, grouping.keys, "_other_") & (F.col("_cell") == F.col("_other_cell"))
+    joined = placed.join(others, same, "left")
+    return joined.withColumn(grouping.name, _verdict(grouping, F.col("_other"))).select(*rows.columns, grouping.name)

@@ -118,7 +118,8 @@ def top_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orphan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.orphan_report(_orphans()(spark, sf_dir))
+    orphans = orphan_conversions(_conversions(spark, sf_dir), _clicks(spark, sf_dir), PUBLISHED)
+    return reports.orphan_report(orphans.withColumn("is_orphan_conversion", F.lit(True)))
 
 
 def dedupe_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +224,7 @@ def _appended(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def _gold(spark: SparkSession, path: str, mode: str) -> DataFrame:
     alerts = tables.read_alerts(spark, path, mode)
-    current = r.without_closing(alerts, "window_start")
+    current = r.alerts_without_closing(alerts)
     return adevents.with_local_times(current, "window_start", "window_end")
 
 

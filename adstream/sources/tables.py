@@ -15,6 +15,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from adstream.schemas import GOLD_ALERT
 from adstream.sources import storage
 
+MAX_FILES_PER_TRIGGER = 1000
+
 
 def create_if_absent(
     spark: SparkSession, path: str, schema: StructType, table_format: str = "parquet"
@@ -33,14 +35,16 @@ def read_table(
     schema: StructType,
     table_format: str = "parquet",
     streaming: bool = False,
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
 ) -> DataFrame:
     """The rows of an appended table, as a table or as a stream that follows it.
 
     The schema is given, never inferred, so an empty table can be read. It includes
     the batch number: a stream that starts before the first batch would otherwise
-    not expect the column that the directory names add.
+    not expect the column that the directory names add. A stream takes at most
+    ``max_files_per_trigger`` new files in a micro-batch and the rest in later ones.
     """
-    reader = spark.readStream if streaming else spark.read
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger) if streaming else spark.read
     if table_format != "parquet":
         return reader.format(table_format).load(path).select(schema.fieldNames())
     stored = _with_batch_id(schema)
@@ -73,13 +77,12 @@ def check_owner(spark: SparkSession, path: str, checkpoint: str) -> None:
     """Refuse to add to a table of batches under a checkpoint that did not write it.
 
     Batch numbers start again with a new checkpoint, so its batches would be taken
-    for replays and left out.
+    for replays and left out. The log of the file sink has such numbers as well.
     """
     if storage.exists(spark, f"{checkpoint}/offsets"):
         return
-    if storage.numbered_directories(spark, path, "batch_id") or storage.numbered_directories(
-        spark, path, "version"
-    ):
+    numbered = [storage.numbered_directories(spark, path, name) for name in ("batch_id", "version")]
+    if any(numbered) or storage.exists(spark, f"{path}/_spark_metadata"):
         raise ValueError(f"{path} was written under another checkpoint than {checkpoint}")
 
 

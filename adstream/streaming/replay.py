@@ -2,7 +2,8 @@
 
 A stream holds back what a later event could still change. To get the result for
 the whole table, two events of a far future follow it: one moves the watermark
-past all others, and one makes the next batch act on that.
+past all others, and one makes the next batch act on that. They are told from the
+others by their ids, and their alerts by a campaign of their own.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,9 +21,11 @@ from adstream.session import scratch_path
 from adstream.sources import adevents
 
 TO_THE_END = {"availableNow": True}
-_LATER = "2100-01-01 00:00:00"
+_LATER = "9999-01-01 00:00:00"
+_CLOSING_IDS = {n: -9_000_000_000_000_000_000 - n for n in (1, 2)}
+_CLOSING_CAMPAIGN = "closing"
 _CLOSING = (
-    "SELECT CAST(-{n} AS BIGINT) AS event_id, TIMESTAMP_NTZ'{later}' + INTERVAL {n} DAYS AS ts, "
+    "SELECT CAST({id} AS BIGINT) AS event_id, TIMESTAMP_NTZ'{later}' + INTERVAL {n} DAYS AS ts, "
     "CAST(0 AS BIGINT) AS user_id, kind AS event_type, CAST(0 AS DOUBLE) AS value, "
     "'{{\"k\": 0}}' AS props FROM VALUES ('click'), ('purchase') AS kinds (kind)"
 )
@@ -44,14 +47,16 @@ def event_stream(spark: SparkSession, sf_dir: str, closing: str) -> DataFrame:
 
 
 def write_closing_events(spark: SparkSession, path: str) -> str:
-    for n in (1, 2):
-        spark.sql(_CLOSING.format(n=n, later=_LATER)).coalesce(1).write.mode("append").parquet(path)
+    for n, number in _CLOSING_IDS.items():
+        spark.sql(_CLOSING.format(n=n, id=number, later=_LATER)).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
 def topic_events(spark: SparkSession, sf_dir: str, topic: str, closing: str) -> DataFrame:
     """One topic of the event stream, before it is encoded."""
-    return adevents.with_instants(_DERIVE[topic](event_stream(spark, sf_dir, closing)))
+    events = adevents.with_instants(_DERIVE[topic](event_stream(spark, sf_dir, closing)))
+    campaign = F.when(_is_closing(), F.lit(_CLOSING_CAMPAIGN)).otherwise(F.col("campaign_id"))
+    return events.withColumn("campaign_id", campaign)
 
 
 def topic_stream(
@@ -62,8 +67,16 @@ def topic_stream(
     return parse_events(messages, MESSAGES[topic], watermark)
 
 
-def without_closing(rows: DataFrame, time: str = "timestamp") -> DataFrame:
-    return rows.filter(F.col(time).isNull() | (F.col(time) < F.lit(_LATER).cast("timestamp")))
+def _is_closing() -> Column:
+    return F.coalesce(F.col("event_id").isin([f"E{number}" for number in _CLOSING_IDS.values()]), F.lit(False))
+
+
+def without_closing(rows: DataFrame) -> DataFrame:
+    return rows.filter(~_is_closing())
+
+
+def alerts_without_closing(alerts: DataFrame) -> DataFrame:
+    return alerts.filter(~F.col("campaign_id").eqNullSafe(F.lit(_CLOSING_CAMPAIGN)))
 
 
 @contextmanager

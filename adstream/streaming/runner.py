@@ -38,6 +38,7 @@ def run_pipeline(
     dedupe: bool = False,
     trigger: Trigger | None = None,
     table_format: str = "parquet",
+    max_files_per_trigger: int = tables.MAX_FILES_PER_TRIGGER,
 ) -> dict[str, StreamingQuery]:
     """Start the six queries and return them by the name of their table.
 
@@ -46,6 +47,8 @@ def run_pipeline(
     event-time window) or ``batch`` (counts per micro-batch). With ``from_bronze``
     the silver queries follow the bronze tables, so each topic is read and parsed
     once; otherwise every query reads its topics itself, which is sooner but more.
+    ``dedupe`` removes repeated events on the way to silver; bronze keeps all it was
+    sent. ``max_files_per_trigger`` paces the layers that follow a table.
     A ``trigger`` that ends by itself, such as ``{"availableNow": True}``, runs the
     layers one after the other and returns when all is written.
     """
@@ -56,14 +59,17 @@ def run_pipeline(
 
     def parsed(topic: str) -> DataFrame:
         options = source_options[topic]
-        events = read_events(spark, source_format, options, MESSAGES[topic], rules.watermark, keep_raw)
-        return dedupe_events(events) if dedupe else events
+        return read_events(spark, source_format, options, MESSAGES[topic], rules.watermark, keep_raw)
 
     def silver_input(topic: str) -> DataFrame:
-        if not from_bronze:
-            return parsed(topic)
-        bronze = tables.read_table(spark, paths.bronze(topic), MESSAGES[topic], table_format, streaming=True)
-        return bronze.withWatermark("timestamp", rules.watermark)
+        if from_bronze:
+            bronze = tables.read_table(
+                spark, paths.bronze(topic), MESSAGES[topic], table_format, True, max_files_per_trigger
+            )
+            events = bronze.withWatermark("timestamp", rules.watermark)
+        else:
+            events = parsed(topic)
+        return dedupe_events(events) if dedupe else events
 
     queries: dict[str, StreamingQuery] = {}
 
@@ -106,7 +112,9 @@ def run_pipeline(
         }
     )
 
-    silver = tables.read_table(spark, paths.silver("clicks"), SILVER_CLICK, table_format, streaming=True)
+    silver = tables.read_table(
+        spark, paths.silver("clicks"), SILVER_CLICK, table_format, True, max_files_per_trigger
+    )
     alerts = fraud_alerts(silver.withWatermark("timestamp", rules.watermark), rules.alert_window)
     gold = start_alerts(
         alerts,

@@ -28,7 +28,12 @@ def start_append(
     trigger: Trigger = EVENT_TRIGGER,
     table_format: str = "parquet",
 ) -> StreamingQuery:
-    """Append a stream to a table, exactly once through the sink's own log."""
+    """Append a stream to a table, exactly once through the sink's own log.
+
+    A table of files that another checkpoint wrote is refused.
+    """
+    if table_format == "parquet":
+        tables.check_owner(stream.sparkSession, path, checkpoint)
     writer = stream.writeStream.format(table_format).outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint).option("path", path)
     return _start(writer, name, trigger)
@@ -110,6 +115,8 @@ def start_alerts(
     if mode == "update" and table_format != "parquet":
         raise ValueError("upserts are kept as a Parquet table of changed rows")
     if mode == "append" or (mode == "complete" and table_format != "parquet"):
+        if table_format == "parquet":
+            tables.check_owner(spark, path, checkpoint)
         writer = alerts.writeStream.format(table_format).outputMode(mode)
         writer = writer.option("checkpointLocation", checkpoint).option("path", path)
         return _start(writer, name, trigger)

@@ -5,8 +5,9 @@ import pytest
 from adstream.operators.clicks import flag_clicks
 from adstream.schemas import CLICK, GOLD_ALERT, SILVER_CLICK
 from adstream.sources import storage, tables
-from adstream.streaming.sinks import start_alerts, start_click_flags
+from adstream.streaming.sinks import start_alerts, start_append, start_click_flags
 from conftest import F, at, click_frame, rows_of
+from pyspark.sql.types import LongType, StructField, StructType
 
 NOW = {"availableNow": True}
 
@@ -129,3 +130,25 @@ def test_unknown_modes_are_refused(spark, feed):
         start_alerts(counts, "/nowhere", "/nowhere-either", mode="other")
     with pytest.raises(ValueError, match="upserts"):
         start_alerts(counts, "/nowhere", "/nowhere-either", mode="update", table_format="other")
+
+
+def test_a_table_of_another_checkpoint_is_refused(spark, tmp_path):
+    """Its sink log knows the batch numbers, so a new checkpoint's rows would be left out."""
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id LONG").parquet(str(tmp_path / "in"))
+    start = [str(tmp_path / "out"), str(tmp_path / "first")]
+    start_append(stream, *start, trigger=NOW).awaitTermination()
+    start_append(stream, *start, trigger=NOW).awaitTermination()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start_append(stream, str(tmp_path / "out"), str(tmp_path / "second"), trigger=NOW)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
+def test_a_stream_takes_a_backlog_in_several_batches(spark, tmp_path):
+    spark.range(0, 40, 1, 4).write.parquet(str(tmp_path / "in"))
+    schema = StructType([StructField("id", LongType())])
+    stream = tables.read_table(spark, str(tmp_path / "in"), schema, streaming=True, max_files_per_trigger=1)
+    query = start_append(stream, str(tmp_path / "out"), str(tmp_path / "check"), trigger=NOW)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 40
