@@ -63,8 +63,8 @@ def test_all_layers(spark, tmp_path, topics, settings):
     ]
     assert all(q.exception() is None and not q.isActive for q in queries.values())
     assert tables.read_table(spark, paths.bronze("impressions"), IMPRESSION).count() == 1
-    assert tables.read_table(spark, paths.bronze("clicks"), CLICK).count() == 6 - settings.get("dedupe", False)
-    assert tables.read_table(spark, paths.bronze("conversions"), CONVERSION).count() == 4 - settings.get("dedupe", False)
+    assert tables.read_table(spark, paths.bronze("clicks"), CLICK).count() == 6
+    assert tables.read_table(spark, paths.bronze("conversions"), CONVERSION).count() == 4
 
     silver = _before_the_end(tables.read_table(spark, paths.silver("clicks"), SILVER_CLICK))
     assert rows_of(silver, "event_id", "is_click_flood", "is_fraud") == [
