@@ -220,8 +220,10 @@ def find_secrets(
         "free",
         lambda c: likelihood_ratio(F.substring(text, c["start"] + 1, c["end"] - c["start"]), table) > threshold,
     )
-    spans = F.array_sort(F.concat("base", more))
-    return found.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "secrets"], spans.alias("secrets"))
+    # The spans are made before the rows' own columns come back, whose names may be those used here.
+    done = found.select("row", F.array_sort(F.concat("base", more)).alias("spans"))
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c != "secrets"]
+    return done.select(*kept, F.col("spans").alias("secrets"))
 
 
 def spans_text(spans: Column) -> Column:

@@ -185,7 +185,6 @@ def test_random_strings_score_above_identifiers(spark):
     assert scores[0] > secrets.THRESHOLD > max(scores[1:])
 
 
-@pytest.mark.xfail(strict=False, reason="open: the scan misses this string although its score is above the threshold")
 def test_random_strings_are_masked(spark):
     random = "zQ9xK2vB7mW4tR8pL3nY6cJ1dF5gH0sA"
     # Ordinary text to learn from, with long words and joined names in it.
