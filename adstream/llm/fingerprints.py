@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,10 @@ _MISSING = "-" * _HEX
 MAX_LEXICON = 8_000_000
 # The band of inverse document frequencies, ln(documents / document frequency).
 LOW, HIGH = 4.0, 9.0
+# A text with fewer terms in the band is read with a wider one.
+MIN_TERMS = 8
+_RARE = 127
+_BROADCAST_ROWS = 1_000_000
 _BUCKET_BYTES = 32 * 1024 * 1024
 _EDIT_DDL = (
     "row_key long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -35,49 +40,77 @@ def _terms(text: bytes | None, hashes: WordHashes) -> np.ndarray:
     return np.sort(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
 
 
+@dataclass(frozen=True)
+class Lexicon:
+    """Sorted hashes of terms, and by how many steps the band must widen to hold each; 0 is in the band."""
+
+    terms: np.ndarray
+    steps: np.ndarray
+
+
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Document counts of terms, added up within the batch."""
+    """Document counts of terms, added up within the batch; a text counts 1/copies."""
     hashes = WordHashes()
     for batch in batches:
         sets = [_terms(t, hashes) for t in texts(batch.column(0))]
-        term, n = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_counts=True)
-        yield pa.record_batch([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
+        weights = np.repeat(1 / np.asarray(batch.column(1), np.float64), [len(s) for s in sets])
+        term, at = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_inverse=True)
+        n = np.bincount(at, weights=weights, minlength=len(term))
+        yield pa.record_batch([pa.array(term.view(np.int64)), pa.array(n, pa.float64())], names=["term", "n"])
 
 
-def term_band(docs: DataFrame, text_col: str, n: int, low: float, high: float) -> DataFrame:
-    """(term): hashes of the terms whose inverse document frequency ln(n / df) is in the band.
+def term_counts(docs: DataFrame, text_col: str, scratch: Scratch) -> tuple[DataFrame, int]:
+    """(term, df) over the distinct texts, and how many of these there are.
 
-    There are at most ``mean distinct terms of a text * e**high`` of them, whatever n is.
+    Copies of a text share one count between them, so no text moves; only hashes of
+    texts do, and the ones that repeat are joined back.
     """
-    text = docs.select(F.col(text_col).cast("string"))
-    counts = text.mapInArrow(_count_terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("df"))
-    return counts.filter((F.col("df") <= n * np.exp(-low)) & (F.col("df") >= n * np.exp(-high))).select("term")
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    text = docs.select(body.alias("body"), F.xxhash64(body).alias("of"))
+    groups = scratch.save(text.groupBy(F.col("of").alias("which")).agg(F.count("*").alias("copies")), "copies")
+    repeated = groups.filter("copies > 1")
+    if repeated.count() <= _BROADCAST_ROWS:
+        repeated = F.broadcast(repeated)
+    shared = text.join(repeated, F.col("of") == F.col("which"), "left")
+    shared = shared.select("body", F.coalesce("copies", F.lit(1)).alias("copies"))
+    counts = shared.mapInArrow(_count_terms, "term long, n double").groupBy("term")
+    return counts.agg(F.round(F.sum("n")).cast("long").alias("df")), groups.count()
 
 
 def _digest(terms: np.ndarray) -> list[str]:
-    """One hash per randomised lexicon of the sorted distinct terms that are in it."""
+    """One hash per randomised lexicon of the sorted distinct terms that are in it.
+
+    Terms that are in none of the lexicons, as may happen to one or two, are hashed in the first one's place.
+    """
     out = []
     for k, power in enumerate(LEXICONS):
         salted = (terms ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64)) * np.uint64(0xD6E8FEB86659FD93)
         member = terms[(salted >> np.uint64(64 - power)) == 0]
         out.append(format(xxhash.xxh32_intdigest(member.tobytes()), "08x") if len(member) else _MISSING)
+    if len(terms) and all(part == _MISSING for part in out):
+        out[0] = format(xxhash.xxh32_intdigest(terms.tobytes()), "08x")
     return out
 
 
-def _print(text: bytes | None, hashes: WordHashes, band: np.ndarray) -> str:
+def _print(text: bytes | None, hashes: WordHashes, lexicon: Lexicon) -> str:
     terms = _terms(text, hashes)
-    at = np.searchsorted(band, terms)
-    inside = at < len(band)
-    inside[inside] = band[at[inside]] == terms[inside]
-    return "".join(_digest(terms[inside]))
+    at = np.searchsorted(lexicon.terms, terms)
+    known = at < len(lexicon.terms)
+    known[known] = lexicon.terms[at[known]] == terms[known]
+    steps = np.full(len(terms), _RARE, np.int8)
+    steps[known] = lexicon.steps[at[known]]
+    # The narrowest band with enough terms, or all terms, the rarest ones too.
+    common = np.sort(steps)
+    widest = common[MIN_TERMS - 1] if len(common) >= MIN_TERMS else _RARE
+    return "".join(_digest(terms[steps <= widest]))
 
 
 def _fingerprints(lexicon, n_texts: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, band = WordHashes(), lexicon.value
+        hashes, known = WordHashes(), lexicon.value
         for batch in batches:
             prints = [
-                pa.array([_print(t, hashes, band) for t in texts(batch.column(i))], pa.string())
+                pa.array([_print(t, hashes, known) for t in texts(batch.column(i))], pa.string())
                 for i in range(n_texts)
             ]
             names = [f"print_{i}" for i in range(n_texts)] + batch.schema.names[n_texts:]
@@ -87,19 +120,27 @@ def _fingerprints(lexicon, n_texts: int) -> Callable:
 
 
 def lexicon_of(corpus: DataFrame, text_col: str, low: float = LOW, high: float = HIGH):
-    """The terms of ``corpus`` in the band, sorted, as a broadcast variable.
+    """The terms of ``corpus`` in the band and the commoner ones, as a broadcast ``Lexicon``.
 
-    Their number has a bound that does not grow with the corpus (see ``term_band``);
-    it is counted before anything is broadcast.
+    The band is of inverse document frequencies ln(n / df) over the n distinct texts, so
+    copies of a text change nothing. Commoner terms are there for texts with few or no terms in the band,
+    each with the steps of 1 that its frequency is away. There are at most ``mean distinct
+    terms of a text * e**high`` terms in all, whatever n is; they are counted before
+    anything is broadcast.
     """
     spark = corpus.sparkSession
     scratch = Scratch(spark, "lexicon")
-    band = scratch.save(term_band(corpus, text_col, corpus.count(), low, high), "band")
-    if band.count() > MAX_LEXICON:
+    counts, n = term_counts(corpus, text_col, scratch)
+    kept = scratch.save(counts.filter(F.col("df") >= n * np.exp(-high)), "terms")
+    if kept.count() > MAX_LEXICON:
         raise ValueError("the lexicon is too large to broadcast; narrow the band of document frequencies")
-    terms = np.array([r["term"] for r in band.toLocalIterator()], np.int64)
-    scratch.drop("band")
-    return spark.sparkContext.broadcast(np.sort(terms.view(np.uint64)))
+    found = kept.toArrow()
+    scratch.drop("terms", "copies")
+    terms = found.column("term").to_numpy().view(np.uint64)
+    away = low - np.log(n / found.column("df").to_numpy())
+    order = np.argsort(terms)
+    steps = np.clip(np.ceil(away), 0, _RARE - 1).astype(np.int8)
+    return spark.sparkContext.broadcast(Lexicon(terms[order], steps[order]))
 
 
 def fingerprint(docs: DataFrame, text_cols: list[str], lexicon) -> DataFrame:
@@ -107,8 +148,10 @@ def fingerprint(docs: DataFrame, text_cols: list[str], lexicon) -> DataFrame:
 
     A fingerprint keeps a text's terms (words, A-Z in lower case) that are in the
     lexicon, sorts the distinct ones and hashes those in each of several randomised
-    parts of it. Equal texts have equal fingerprints. A part none of whose terms the
-    text has leaves a mark that matches nothing; so does a NULL or empty text
+    parts of it. A text with fewer than ``MIN_TERMS`` terms in the band takes the commoner
+    ones in, step by step, and at last all its terms. Equal texts have equal fingerprints
+    and, if they have words, likeness 1. A part none of whose terms the
+    text has leaves a mark that matches nothing; so does a NULL, empty or wordless text
     throughout. Repeated rows get the same each; an empty table gives an empty result.
     """
     rest = [c for c in docs.columns if c not in text_cols]
@@ -141,15 +184,15 @@ def _edits(lexicon) -> Callable:
     """Rows come bucket by bucket in order; each meets the next one of its bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, band = WordHashes(), lexicon.value
+        hashes, known = WordHashes(), lexicon.value
         last = None
         for batch in batches:
             out = []
             columns = [batch.column(i).to_pylist() for i in range(3)]
             for bucket, guest, row_key, text in zip(*columns, texts(batch.column(3))):
-                here = _print(text, hashes, band)
+                here = _print(text, hashes, known)
                 if last and last[0] == bucket:
-                    out.append(_edit_row(last, (text or b"").decode(), here, hashes, band))
+                    out.append(_edit_row(last, (text or b"").decode(), here, hashes, known))
                 last = None if guest else (bucket, row_key, (text or b"").decode(), here)
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=_EDIT_SCHEMA)
@@ -170,11 +213,11 @@ _EDIT_SCHEMA = pa.schema(
 )
 
 
-def _edit_row(last: tuple, following: str, next_print: str, hashes: WordHashes, band: np.ndarray) -> dict:
+def _edit_row(last: tuple, following: str, next_print: str, hashes: WordHashes, known: Lexicon) -> dict:
     _, row_key, text, own = last
     half = len(text) // 2
     edited = (text[: len(text) - half] + following[:half]).encode()
-    edited_print = _print(edited, hashes, band)
+    edited_print = _print(edited, hashes, known)
     return {
         "row_key": row_key,
         "n_chars": len(text),

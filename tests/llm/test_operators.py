@@ -212,6 +212,29 @@ def test_fingerprints_follow_edits(docs, empty, spark):
     assert fingerprints.edit_likeness(empty).count() == 0
 
 
+def test_fingerprints_of_copies_and_small_tables(spark):
+    copied = " ".join(f"c{k}" for k in range(60))
+    others = [" ".join(f"t{(i * 31 + k * k) % 500}" for k in range(60)) for i in range(200)]
+    hot = fingerprints.edit_likeness(table(spark, [copied] * 100 + others)).collect()
+    hot = {r["doc_id"]: r for r in hot}
+    once = fingerprints.edit_likeness(table(spark, [copied] + others)).collect()
+    once = {r["doc_id"]: r for r in once}
+    assert all(hot[i]["near_next"] == 1 for i in range(99))
+    assert {hot[i]["fingerprint"] for i in range(100)} == {once[0]["fingerprint"]}
+    assert [hot[100 + i]["fingerprint"] for i in range(200)] == [once[1 + i]["fingerprint"] for i in range(200)]
+    # Near copies of one text, all of whose words but one are too common for the band.
+    near = [f"{copied} n{i}" for i in range(100)]
+    got = fingerprints.edit_likeness(table(spark, near + others)).collect()
+    assert min(r["near_next"] for r in got if r["doc_id"] < 99) >= 0.5
+    # Too few rows for a band, and texts of a single word.
+    small = [copied, copied, "", None, *(w for i in range(3000) for w in [f"s{i}"] * 2)]
+    for rows in (small[:10], small):
+        got = {r["doc_id"]: r for r in fingerprints.edit_likeness(table(spark, rows)).collect()}
+        same = [i for i in range(len(rows) - 1) if rows[i] and rows[i] == rows[i + 1]]
+        assert {got[i]["near_next"] for i in same} == {1.0}
+        assert got[2]["near_next"] == 0 and set(got[2]["fingerprint"]) == {"-"}
+
+
 def test_token_counts_match_brute_force(docs, empty):
     costs = tokencount.load_costs(tokencount.public_pieces())
     byte = max(costs.values()) + 1_000_000
