@@ -6,6 +6,7 @@ import html as references
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,8 +23,8 @@ _MARKUP = re.compile(
     r"|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
-_CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
 _BLOCKS = frozenset(
     "html body head main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
     "caption blockquote pre figure figcaption address header footer nav aside form fieldset hr center details summary".split()
@@ -31,16 +32,27 @@ _BLOCKS = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CONTAINERS = frozenset("html body main article section div td center".split())
 _SEMANTIC = frozenset(("article", "main"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements that are never part of the main text.
 _ASIDES = frozenset("nav footer aside form head dialog menu label".split())
-# Words in classes, ids and roles that mark what surrounds the main text.
-_ASIDE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|"
-    r"footer|masthead|side-?bar|aside|complementary|contentinfo|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
-    r"comments?|comment-?list|disqus|replies|respond|responses|share|sharing|social|related|recommend\w*|newsletter|"
-    r"subscribe|subscription|signup|login|search|pagination|pager|widgets?|toolbar|skip-?link|tags|tag-?list|copyright|"
-    r"site-?header|page-?header|top-?bar|paywall)(?:$|[\s_-])",
-    re.IGNORECASE,
+# Elements whose ids and classes name their content, not a part of the page.
+_PHRASES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption".split())
+# Words in classes, ids and roles that mark what surrounds the main text,
+_ASIDE_WORD = re.compile(
+    r"ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|"
+    r"footer|masthead|sidebar|aside|complementary|contentinfo|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
+    r"comments?|commentlist|disqus|replies|respond|responses|share|sharing|social|related|recommend\w*|newsletter|"
+    r"subscribe|subscription|signup|login|search|pagination|pager|widgets?|toolbar|skiplink|tags|taglist|copyright|"
+    r"siteheader|pageheader|topbar|paywall"
+)
+# and words that say nothing beside them; a name with any other word is of content.
+_LAYOUT_WORD = re.compile(
+    r"[a-z]?\d*|js|main|site|page|global|primary|secondary|top|bottom|left|right|upper|lower|inner|outer|mini|small|large|"
+    r"sticky|fixed|float\w*|mobile|desktop|bar|box(?:es)?|block|area|section|region|wrap|wrapper|container|content|"
+    r"holder|panel|pane|row|col|column|grid|group|list|items?|links?|buttons?|btns?|icons?|tools?|form|field|input|slot|"
+    r"unit|zone|head|header|title|body|text|posts?|articles?|entry|entries|stor(?:y|ies)|news|media|thread|policy|"
+    r"message|dialog|cta|skip|side|tag|badge|label|card|module|component|the|and|for|to|us|you|your|more|view|"
+    r"google|facebook|twitter|dfp|gpt|display|native|video|image|img|html|cloud|meta|info|nav|in|up|sign|recent|latest"
 )
 _CLOSES_P = _BLOCKS
 _ITEM_ENDS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
@@ -72,13 +84,37 @@ def _step(tag: str, attributes: str) -> str:
     return f"{tag}.{re.sub(r'[0-9]+', '#', classed[1].lower())}" if classed else tag
 
 
+def _marks(name: str) -> bool:
+    """Whether a class, id or role is made of words of page furniture alone."""
+    name = re.sub(r"(side|comment|skip|tag|site|page|top)[_-]+(bar|list|link|header)(?=$|[_-])", r"\1\2", name.lower())
+    words = re.split(r"[_-]+", name)
+    aside = [bool(_ASIDE_WORD.fullmatch(w)) for w in words]
+    return any(aside) and all(a or _LAYOUT_WORD.fullmatch(w) for a, w in zip(aside, words))
+
+
+@lru_cache(maxsize=50_000)
+def _read_attributes(attributes: str) -> tuple[bool, bool]:
+    """Whether the attributes hide an element, and whether its class, id or role marks page furniture."""
+    values: dict[str, str] = {}
+    for name, *value in _ATTRIBUTE.findall(attributes):
+        values.setdefault(name.lower(), references.unescape("".join(value)))
+    hidden = (
+        "hidden" in values
+        or values.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_NOT_SHOWN.search(values.get("style", "")))
+    )
+    return hidden, any(_marks(n) for key in ("class", "id", "role") for n in values.get(key, "").split())
+
+
 def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in _ASIDES or (tag == "header" and not in_article):
         return True
-    if not attributes or tag in ("html", "body", "main", "article"):
-        return bool(attributes) and tag not in ("html", "body") and bool(_HIDDEN.search(attributes))
-    named = " ".join(" ".join(filter(None, m)) for m in _CLASS.findall(attributes))
-    return bool(named and _ASIDE_WORDS.search(named)) or bool(_HIDDEN.search(attributes))
+    if not attributes or tag in ("html", "body"):
+        return False
+    hidden, marked = _read_attributes(attributes)
+    if hidden or not marked or tag in _SEMANTIC or tag in _HEADINGS:
+        return hidden
+    return not in_article or (tag in _BLOCKS and tag not in _PHRASES)
 
 
 def parse(document: str) -> Page:

@@ -297,3 +297,27 @@ def test_pages_are_read_at_their_hosts_path(spark, empty):
     assert got[5]["text"] == got[6]["text"] == "" and got[7]["text"] == "just text" and got[7]["n_chars"] == 9
     assert got[8]["text"] == "\n".join(["a"] * 2000)
     assert html.extract_pages(pages.limit(0)).count() == 0
+
+
+def read(body):
+    return html.extract(html.parse(f"<html><body>{body}</body></html>"), None)
+
+
+def test_attributes_hide_by_name_only():
+    words = "Some words of the article that go on for a while."
+    for wrapper in (
+        'article class="overflow-hidden"',
+        'div style="overflow:hidden"',
+        'main aria-hidden="false"',
+        'div title="The hidden valley" data-style="display:none"',
+    ):
+        assert read(f"<{wrapper}><p>{words}</p></{wrapper.split()[0]}>") == words
+    assert read(f'<div><p>{words} See <a href="/hidden-gems">these gems</a> too.</p></div>') == f"{words} See these gems too."
+    for hidden in ("hidden", 'hidden=""', 'aria-hidden="TRUE"', 'style="color:red; display : none"', "aria-hidden=true"):
+        assert read(f"<div><p>{words}</p><div {hidden}>not seen</div></div>") == words
+    kept = '<h2 id="related-work">Related work</h2><section id="search-methods"><p class="share-price">Prices.</p></section>'
+    assert read(f'<div><h2 id="search">Search</h2><p>{words}</p></div>') == f"Search\n{words}"
+    for tag in ("article", "div"):
+        assert read(f"<{tag}><p>{words}</p>{kept}</{tag}>") == f"{words}\nRelated work\nPrices."
+        for box in ("related-posts", "share", "comment-list", "post-share-buttons", "side-bar left", "ad ad-300"):
+            assert read(f'<{tag}><p>{words}</p><div class="{box}"><p>box</p></div></{tag}>') == words
