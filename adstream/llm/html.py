@@ -54,6 +54,8 @@ _LAYOUT_WORD = re.compile(
     r"message|dialog|cta|skip|side|tag|badge|label|card|module|component|the|and|for|to|us|you|your|more|view|"
     r"google|facebook|twitter|dfp|gpt|display|native|video|image|img|html|cloud|meta|info|nav|in|up|sign|recent|latest"
 )
+# A host's path with a smaller share of a page's text is not the one of its main text.
+_LEAST_SHARE = 0.2
 _CLOSES_P = _BLOCKS
 _ITEM_ENDS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
 
@@ -64,6 +66,7 @@ class Block:
 
     containers: tuple[int, ...]
     aside: bool
+    tag: str = ""
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -76,6 +79,7 @@ class Page:
     blocks: list[Block]
     paths: list[str]
     tags: list[str]
+    above: list[int] = field(default_factory=list)
 
 
 def _step(tag: str, attributes: str) -> str:
@@ -128,7 +132,8 @@ def parse(document: str) -> Page:
         if block is None:
             if not text.strip():
                 return
-            block = Block(tuple(c for *_, c in stack if c >= 0), any(s[1] for s in stack))
+            inner = next((s[0] for s in reversed(stack) if s[0] in _BLOCKS), "")
+            block = Block(tuple(c for *_, c in stack if c >= 0), any(s[1] for s in stack), inner)
             page.blocks.append(block)
         block.parts.append(text)
         if any(s[2] for s in stack):
@@ -172,10 +177,11 @@ def parse(document: str) -> Page:
         container = -1
         if tag in _CONTAINERS:
             step = _step(tag, attributes)
-            above = next((page.paths[c] for *_, c in reversed(stack) if c >= 0), "")
+            above = next((c for *_, c in reversed(stack) if c >= 0), -1)
             container = len(page.paths)
-            page.paths.append(f"{above}/{step}")
+            page.paths.append(f"{page.paths[above] if above >= 0 else ''}/{step}")
             page.tags.append(tag)
+            page.above.append(above)
         aside = _is_aside(tag, attributes, any(s[0] in _SEMANTIC for s in stack))
         if aside:
             block = None
@@ -206,13 +212,56 @@ def score_containers(page: Page) -> dict[str, float]:
     return scores
 
 
+def _value(block: Block) -> int:
+    return 0 if block.aside else max(0, len(block.text()) - 2 * block.linked)
+
+
+def _with_headings(page: Page, chosen: set[int]) -> set[int]:
+    """The containers, each extended to its parent as long as that has headings or paragraphs beside it.
+
+    What else the parent has comes along, unless most of it is links. The whole page is taken only if the
+    rest is headings and paragraphs alone.
+    """
+    n = len(page.paths)
+    blocks, chars, linked, own = [0] * n, [0] * n, [0] * n, [0] * n
+    for block in page.blocks:
+        if block.aside or not block.containers:
+            continue
+        size = len(block.text())
+        for c in block.containers:
+            blocks[c] += 1
+            chars[c] += size
+            linked[c] += block.linked
+        if (block.tag in _HEADINGS or block.tag == "p") and size > 2 * block.linked:
+            own[block.containers[-1]] += 1
+    out = set()
+    for c in chosen:
+        while (parent := page.above[c]) >= 0:
+            rest = blocks[parent] - blocks[c]
+            if page.tags[parent] in ("html", "body"):
+                wanted = own[parent] == rest
+            else:
+                wanted = own[parent] > 0 and 2 * (linked[parent] - linked[c]) <= chars[parent] - chars[c]
+            # A wrapper with nothing of its own is passed, for what is beside it.
+            if rest and not wanted:
+                break
+            c = parent
+        out.add(c)
+    return out
+
+
 def extract(page: Page, path: str | None) -> str:
-    """The text of the blocks under the containers of ``path``, or of the page's own best path."""
+    """The text of the blocks under the containers of ``path`` and the headings that go with them.
+
+    If ``path`` has little of the page's text, the page's own best path is read instead.
+    """
     chosen = {c for c, p in enumerate(page.paths) if p == path}
-    if not any(not b.aside and chosen.intersection(b.containers) for b in page.blocks):
+    here = sum(_value(b) for b in page.blocks if chosen.intersection(b.containers))
+    if not here or here < _LEAST_SHARE * sum(map(_value, page.blocks)):
         scores = score_containers(page)
-        best = max(scores, key=lambda p: (scores[p], p), default=None)
+        best = max(scores, key=lambda p: (scores[p], p), default=path)
         chosen = {c for c, p in enumerate(page.paths) if p == best}
+    chosen = _with_headings(page, chosen)
     inside = [b for b in page.blocks if not b.aside and (not page.paths or not chosen or chosen.intersection(b.containers))]
     return "\n".join(t for t in (b.text() for b in inside) if t)
 
@@ -270,8 +319,8 @@ def extract_pages(
     """Adds ``text`` and ``n_chars`` to every page.
 
     The pages of a host vote, with the scores of their containers, for a path of tags
-    and classes; each page is then read at the winning path, or where it has
-    no text there, at its own best one. Menus, headers, footers, notices, adverts, forms
+    and classes; each page is then read at the winning path, or where that has
+    little of its text, at its own best one, and with the headings and paragraphs beside it. Menus, headers, footers, notices, adverts, forms
     and comments are left out. A NULL or empty page has an empty text; a NULL url
     counts as the host ''; repeated rows are read each; other columns stay (or
     those in ``columns``) unless they have the new names; an empty table gives an empty result.

@@ -321,3 +321,19 @@ def test_attributes_hide_by_name_only():
         assert read(f"<{tag}><p>{words}</p>{kept}</{tag}>") == f"{words}\nRelated work\nPrices."
         for box in ("related-posts", "share", "comment-list", "post-share-buttons", "side-bar left", "ad ad-300"):
             assert read(f'<{tag}><p>{words}</p><div class="{box}"><p>box</p></div></{tag}>') == words
+
+
+def test_headings_and_other_templates_are_kept():
+    long = "<p>A sentence of the long body of this post, with many words in it.</p>" * 200
+    short = "<p>A short body.</p>"
+    post = "<div class=post><h1>Heading</h1>{meta}<p>The lead of it.</p><div class=body>{body}</div></div><div class=foot>End</div>"
+    path = "/html/body/div.post/div.body"
+    for meta in ("", "<div class=meta>By A Writer</div>"):
+        for body in (long, short):
+            text = html.extract(html.parse("<html><body>" + post.format(meta=meta, body=body)), path).split("\n")
+            assert text[0] == "Heading" and "The lead of it." in text and text[-1] != "End"
+            assert len(text) == 2 + bool(meta) + body.count("<p>")
+    # A page of another template with a teaser at the host's path.
+    other = f"<html><body><div class=post><div class=body>Read this next.</div></div><div class=story><h1>Big</h1>{long}</div>"
+    text = html.extract(html.parse(other), path).split("\n")
+    assert text[0] == "Big" and len(text) == 201
