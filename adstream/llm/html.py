@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 from adstream.llm.scratch import Scratch
 
-# Elements whose content is no text of the page.
-_RAW = "script|style|noscript|template|textarea|title|svg|math|iframe|object|canvas|select|button"
+# Elements whose content is read as it stands, up to their end, and is no text of the page.
+_RAW = "script|style|textarea|title"
+# Elements whose text is left out, without a break in the text around them; an unclosed one ends with its parent block,
+# or where a block begins if no end tag follows at all.
+_SILENT = frozenset("noscript template svg iframe canvas select button annotation annotation-xml".split())
 _MARKUP = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)"
     rf"|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
@@ -129,6 +132,8 @@ def parse(document: str) -> Page:
 
     def put(text: str) -> None:
         nonlocal block
+        if any(s[0] in _SILENT for s in stack):
+            return
         if block is None:
             if not text.strip():
                 return
@@ -139,6 +144,13 @@ def parse(document: str) -> Page:
         if any(s[2] for s in stack):
             block.linked += len(text.strip())
 
+    ends: dict[str, int] = {}
+
+    def last_end(tag: str) -> int:
+        if tag not in ends:
+            ends[tag] = document.lower().rfind(f"</{tag}")
+        return ends[tag]
+
     at = 0
     for found in _MARKUP.finditer(document):
         if found.start() > at:
@@ -163,6 +175,10 @@ def parse(document: str) -> Page:
         attributes = found["attributes"] or ""
         if tag in _VOID or attributes.endswith("/") and tag not in _BLOCKS:
             continue
+        if tag in _BLOCKS:
+            open_at = next((i for i, s in enumerate(stack) if s[0] in _SILENT), -1)
+            if open_at >= 0 and at > last_end(stack[open_at][0]):
+                del stack[open_at:]
         if tag in _CLOSES_P:
             open_p = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), -1)
             if open_p >= 0:

@@ -337,3 +337,15 @@ def test_headings_and_other_templates_are_kept():
     other = f"<html><body><div class=post><div class=body>Read this next.</div></div><div class=story><h1>Big</h1>{long}</div>"
     text = html.extract(html.parse(other), path).split("\n")
     assert text[0] == "Big" and len(text) == 201
+
+
+def test_unclosed_elements_end_with_their_block():
+    for tag in ("button", "select", "svg", "canvas", "noscript", "iframe"):
+        page = f"<article><p>First words.</p><div><{tag} x=1>gone</div><p>Words <{tag}>gone</{tag}>that follow.</p></article>"
+        assert read(page) == "First words.\nWords that follow.", tag
+        assert read(f"<{tag}>gone<article><p>Words.</p></article>") == "Words."
+        assert read(f"<article><p>First <{tag}>gone<p>Second.</article>") == "First\nSecond.", tag
+    math = "<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x = 2</annotation></math>"
+    assert read(f"<article><p>Here {math} holds.</p><object><p>Shown instead.</p></object></article>") == (
+        "Here x=2 holds.\nShown instead."
+    )
