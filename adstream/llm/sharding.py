@@ -10,6 +10,7 @@ from adstream.llm.scratch import Scratch
 MAX_BYTES = 16 * 1024 * 1024
 _BITS = 64
 _BITS_PER_ROUND = 4
+_ROW = "_shard_row"
 
 
 def _prefix(depth: Column) -> Column:
@@ -18,7 +19,11 @@ def _prefix(depth: Column) -> Column:
 
 
 def assign_shards(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = MAX_BYTES
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_bytes: int = MAX_BYTES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_bytes, shard (its hash prefix), depth, shard_bytes, shard_docs.
 
@@ -27,8 +32,8 @@ def assign_shards(
     is a shard of its own size, as it can't be split. The hash is of the id and, for
     rows that share an id, of the text's; exact repeats of a row go on with bits of
     their place in the written table, so even they are split. A NULL id hashes like a
-    value of its own, a NULL or empty text has no bytes; other columns are ignored;
-    an empty table has no shards. Splitting works on sums per prefix, some bits at a
+    value of its own, a NULL or empty text has no bytes; other columns are ignored
+    but for those in ``keep``, which follow at the end; an empty table has no shards. Splitting works on sums per prefix, some bits at a
     time, so a row's text moves nowhere and the driver sees a count only.
     """
     scratch = Scratch(docs.sparkSession, "sharding")
@@ -45,6 +50,7 @@ def assign_shards(
             bits(F.xxhash64(text)),
             bits(F.xxhash64(F.monotonically_increasing_id())),
         ).alias("bits"),
+        *[F.col(c).alias(f"kept_{c}") for c in keep],
     )
     rows = scratch.save(rows, "rows")
     open_rows, done, depth = rows, None, 0
@@ -75,17 +81,35 @@ def assign_shards(
         placed = scratch.save(placed.drop("prefix"), f"placed-{depth}")
         closed = placed.filter("shard IS NOT NULL")
         done = closed if done is None else done.unionByName(closed)
-        open_rows = placed.filter("shard IS NULL").select("row_key", "n_bytes", "bits")
+        open_rows = placed.filter("shard IS NULL").select(rows.columns)
         depth = last
         if open_rows.isEmpty():
             break
     return done.select(
-        F.col("row_key").alias(id_col), "n_bytes", "shard", "depth", "shard_bytes", "shard_docs"
+        F.col("row_key").alias(id_col),
+        "n_bytes",
+        "shard",
+        "depth",
+        "shard_bytes",
+        "shard_docs",
+        *[F.col(f"kept_{c}").alias(c) for c in keep],
     )
 
 
-def write_shards(docs: DataFrame, shards: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write every shard to a directory of its own below ``path``."""
-    place = shards.select(F.col(id_col).alias("_of"), F.col("shard")).distinct()
-    rows = docs.join(place, F.col(id_col).eqNullSafe(F.col("_of")), "left").drop("_of")
-    rows.repartition("shard").write.partitionBy("shard").mode("overwrite").parquet(path)
+def write_shards(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = MAX_BYTES
+) -> None:
+    """Assign the rows of ``docs`` to shards and write every shard to a directory of its own below ``path``.
+
+    Each row is written once, rows that share an id or repeat each other too: rows are
+    numbered in a written copy of ``docs`` and meet their shards by that number.
+    Names of shards are bits: read them with ``spark.sql.sources.partitionColumnTypeInference.enabled`` off.
+    """
+    if clash := {"shard", _ROW}.intersection(docs.columns):
+        raise ValueError(f"columns that the shards need themselves: {sorted(clash)}")
+    scratch = Scratch(docs.sparkSession, "shard-files")
+    rows = scratch.save(docs.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
+    place = assign_shards(rows, id_col, text_col, max_bytes, keep=(_ROW,)).select(_ROW, "shard")
+    placed = rows.join(place, _ROW).drop(_ROW)
+    placed.repartition("shard").write.partitionBy("shard").mode("overwrite").parquet(path)
+    scratch.drop("rows")

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from adstream.llm import fingerprints, html, mixing, ngram_join, packing, quality, secrets, sharding, tokencount, toxicity
@@ -266,6 +267,17 @@ def test_shards_fit_and_only_full_buckets_split(docs, empty, spark):
     assert sharding.assign_shards(empty).count() == 0
 
 
+def test_shard_files_hold_each_row_once(spark, tmp_path):
+    rows = [(1, "x" * 100, k) for k in range(40)] + [(1, "y" * 90, 0)] * 20 + [(None, None, 1), (None, "z", 2)] + [(2, "w", 3)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra int")
+    sharding.write_shards(docs, str(tmp_path / "shards"), max_bytes=1000)
+    shards = [pq.read_table(d, partitioning=None).to_pylist() for d in (tmp_path / "shards").glob("shard=*")]
+    found = [(r["doc_id"], r["text"], r["extra"]) for shard in shards for r in shard]
+    assert collections.Counter(found) == collections.Counter(rows)
+    sizes = [sum(len(r["text"] or "") for r in shard) for shard in shards]
+    assert len(sizes) > 5 and max(sizes) <= 1000
+
+
 def test_toxicity_on_held_out_texts(docs, empty, spark):
     clean = [f"good words number {i} of a calm text {i % 13}" for i in range(300)]
     texts = [t + (" vile vile nasty" if i % 10 == 0 else " vile" if i % 10 == 5 else "") for i, t in enumerate(clean)]
