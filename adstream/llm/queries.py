@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adstream.llm.bpe import decode_ids, encode_texts
 from adstream.llm.fingerprints import edit_likeness
 from adstream.llm.html import extract_pages
 from adstream.llm.mixing import mix_sources
@@ -77,6 +78,16 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = decode_ids(encode_texts(documents(spark, sf_dir), columns=["doc_id"]))
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -90,6 +101,7 @@ QUERIES: dict[str, Query] = {
         op8_token_counts,
         op9_sharding,
         op10_best_fit_packing,
+        op11_bpe_round_trip,
     )
 }
 
