@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adstream.llm import oracle
 from adstream.llm.bpe import decode_ids, encode_texts
 from adstream.llm.fingerprints import edit_likeness
 from adstream.llm.html import extract_pages
+from adstream.llm.importance import resample
 from adstream.llm.mixing import mix_sources
 from adstream.llm.ngram_join import near_duplicates
 from adstream.llm.packing import pack_documents
 from adstream.llm.quality import assess_quality
-from adstream.llm.scratch import documents
+from adstream.llm.ranking import search
+from adstream.llm.scratch import benchmark, documents
 from adstream.llm.secrets import BASE_KINDS, find_secrets, spans_text
 from adstream.llm.sharding import assign_shards
 from adstream.llm.tokencount import count_tokens
@@ -88,6 +91,14 @@ def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -102,9 +113,14 @@ QUERIES: dict[str, Query] = {
         op9_sharding,
         op10_best_fit_packing,
         op11_bpe_round_trip,
+        op12_importance_resampling,
+        op13_ranked_lexical_search,
     )
 }
 
-# The methods of these operators (models, packings, trees) are beyond SQL; tests hold
+# The methods of the others (models, packings, trees, tokenizers) are beyond SQL; tests hold
 # them against brute force instead.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_importance_resampling": oracle.IMPORTANCE_RESAMPLING,
+    "op13_ranked_lexical_search": oracle.RANKED_LEXICAL_SEARCH,
+}

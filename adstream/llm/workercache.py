@@ -17,3 +17,12 @@ def worker_cached(key: Any, make: Callable[[], Any]) -> Any:
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def worker_latest(name: str, key: Any, make: Callable[[], Any]) -> Any:
+    """As ``worker_cached``, but only the newest object of a name is kept."""
+    found = worker_cached(("latest", name), dict)
+    if key not in found:
+        found.clear()
+        found[key] = make()
+    return found[key]
