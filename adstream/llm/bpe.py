@@ -352,9 +352,15 @@ def _decode(path: str | None, names: list[str]) -> Callable:
     return run
 
 
-def _mapped(rows: DataFrame, work: Callable, new: str, new_names: list[str], path: str | None) -> DataFrame:
-    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return rows.mapInArrow(work(path, [*new_names, *rows.columns[1:]]), new + kept)
+def _mapped(rows: DataFrame, work: Callable, new: list[tuple[str, str]], path: str | None) -> DataFrame:
+    """``work`` on the first column, whose place the new ones (name, type) take; the others stay, whatever their names."""
+    kept = [(f"_{i}", f.dataType.simpleString()) for i, f in enumerate(rows.schema.fields[1:])]
+    columns = [(f"_new{i}", kind) for i, (_, kind) in enumerate(new)] + kept
+    schema = ", ".join(f"{name} {kind}" for name, kind in columns)
+    plain = rows.toDF("_text", *(name for name, _ in kept))
+    made = plain.mapInArrow(work(path, [name for name, _ in columns]), schema)
+    found = made.toDF(*(name for name, _ in new), *rows.columns[1:])
+    return found.select(*rows.columns[1:], *(name for name, _ in new))
 
 
 def encode_texts(
@@ -374,10 +380,8 @@ def encode_texts(
     lookahead asks for, so memory does not grow with a word's length.
     """
     columns = [c for c in (docs.columns if columns is None else columns) if c not in ("n_tokens", "ids")]
-    rows = docs.select(F.col(text_col).cast("string").alias("_body"), *columns)
-    return _mapped(rows, _encode, "n_tokens long, ids binary", ["n_tokens", "ids"], tokenizer_path).select(
-        *columns, "n_tokens", "ids"
-    )
+    rows = docs.select(F.col(text_col).cast("string"), *columns)
+    return _mapped(rows, _encode, [("n_tokens", "long"), ("ids", "binary")], tokenizer_path)
 
 
 def decode_ids(
@@ -388,5 +392,5 @@ def decode_ids(
     NULL or no ids give an empty text; other columns stay, but one named ``decoded`` gives way.
     """
     columns = [c for c in (encoded.columns if columns is None else columns) if c != "decoded"]
-    rows = encoded.select(F.col(ids_col).alias("_packed"), *columns)
-    return _mapped(rows, _decode, "decoded string", ["decoded"], tokenizer_path).select(*columns, "decoded")
+    rows = encoded.select(F.col(ids_col), *columns)
+    return _mapped(rows, _decode, [("decoded", "string")], tokenizer_path)

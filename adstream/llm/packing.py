@@ -12,87 +12,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adstream.llm.bpe import Encoder, public_tokenizer
 from adstream.llm.scratch import Scratch
 from adstream.llm.shingles import texts
 from adstream.llm.workercache import worker_cached
 
 PIECES_PER_GROUP = 100_000
-_CACHED_WORDS = 800_000
-_CACHED_LETTERS = 1_000_000
-# Below this, letters are Latin and composed.
-_LATIN_END = "\u0250"
-# Marks that the tokenizer always splits from letters before them.
-_MARKS = ".,;:!?%*&$#|"
-
-
-def public_tokenizer() -> str:
-    """Place of the public word-level BPE vocabulary on this machine."""
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
-def _byte_letters() -> dict[int, str]:
-    """The letters by which byte-level vocabularies write bytes: printable ones as they are."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = (b for b in range(256) if b not in plain)
-    return {b: chr(256 + n) for n, b in enumerate(others)}
-
-
-class _WordIds(dict):
-    """Ids of white-space-free words as bytes. The tokenizer drops white space and joins nothing across it.
-
-    It also splits letters from the marks behind them, so a word is put together from
-    its letters and its marks. Composed Latin letters need none of its text
-    preparation but lower case and go to its merges directly; all else takes the usual way.
-    """
-
-    def __init__(self, file: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
-        self.merge = self.tokenizer.model.tokenize
-        self.letters: dict[str, bytes] = {}
-        self.byte_letters = _byte_letters()
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > _CACHED_WORDS:
-            self.clear()
-        stem = word.rstrip(_MARKS)
-        if stem.isalpha() and stem.isascii() or stem.isalpha() and max(stem) < _LATIN_END:
-            lower = stem.lower()
-            ids = self.letters.get(lower) or self._merged(lower)
-            marks = word[len(stem) :]
-            value = ids + self[marks] if marks else ids
-        else:
-            value = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids if word else []).tobytes()
-        self[word] = value
-        return value
-
-    def _merged(self, lower: str) -> bytes:
-        if len(self.letters) > _CACHED_LETTERS:
-            self.letters.clear()
-        if lower.isalpha():
-            written = lower if lower.isascii() else lower.encode().decode("latin-1").translate(self.byte_letters)
-            ids = [token.id for token in self.merge(written)]
-        else:
-            # Some capitals become a letter and a mark.
-            ids = self.tokenizer.encode(lower, add_special_tokens=False).ids
-        value = self.letters[lower] = array("I", ids).tobytes()
-        return value
-
 
 def _pieces(path: str | None, capacity: int, end_id: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file = path or public_tokenizer()
-        words = worker_cached(("word ids", file), lambda: _WordIds(file))
+        encoder = worker_cached(("encoder", file), lambda: Encoder(file))
         end, step = array("I", [end_id]).tobytes(), 4 * capacity
         for batch in batches:
             rows = []
             for row_key, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-                flat = (text or b"").decode().replace("\n", " ").replace("\t", " ").replace("\r", " ")
-                ids = b"".join(map(words.__getitem__, flat.split(" "))) + end
+                ids = encoder.ids(text or b"") + end
                 for piece, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
                     rows.append((row_key, piece, at // 4, len(part) // 4, zlib.crc32(part)))
@@ -194,7 +129,7 @@ def pack_documents(
 
     Returns one row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
     Only a document longer than a sequence is cut, into full pieces and a last one.
-    A NULL or empty text is its end id alone; repeated rows and rows with a NULL id are packed
+    Special tokens written in a text are special tokens, as the tokenizer reads them. A NULL or empty text is its end id alone; repeated rows and rows with a NULL id are packed
     each for itself; other columns are ignored; an empty table gives no sequences.
     The tokenizer file (default: the public one) must be on every executor.
 

@@ -122,11 +122,21 @@ def test_best_two_fit_exchanges_for_a_tighter_pair():
     assert bins[0] == bins[2] == bins[3] != bins[1]
 
 
-def test_word_tokens_equal_whole_text_tokens():
-    ids = packing._WordIds(packing.public_tokenizer())
-    text = "İstanbul Straße ÀÉÎ don't. it's x1y2 a.b... ŒUVRE Ως 中文。 ét́ <|endoftext|> (end)"
-    got = b"".join(map(ids.__getitem__, text.split(" ")))
-    assert np.frombuffer(got, np.uint32).tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids
+def test_packed_ids_are_those_of_an_unaltered_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.public_tokenizer())
+    texts = [
+        "İstanbul Straße ÀÉÎ don't. it's x1y2 a.b... ŒUVRE Ως 中文。 ét́ <|endoftext|> (end)",
+        "a <|endoftext|> b",
+        "<|startoftext|>",
+        "in<|endoftext|>side <|startoftext|><|endoftext|>",
+        "<|EndOfText|> <|endoftext",
+    ]
+    for r in packing.pack_documents(table(spark, texts)).collect():
+        ids = tokenizer.encode(texts[r["doc_id"]], add_special_tokens=False).ids + [0]
+        assert (r["piece"], r["start"], r["length"]) == (0, 0, len(ids))
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
 def test_mixing_meets_targets(docs, empty, spark):
