@@ -17,7 +17,7 @@ from adstream.llm.workercache import worker_cached
 
 # Words up to this many bytes are remembered, so the number bounds the bytes kept.
 _CACHED_BYTES = 64
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 200_000
 # Letters that a transducer gathers beyond its lookahead before it merges them.
 _BLOCK_LETTERS = 4096
 # A text without white space is prepared in runs of about this many characters.

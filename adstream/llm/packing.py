@@ -19,6 +19,7 @@ from adstream.llm.workercache import worker_cached
 
 PIECES_PER_GROUP = 100_000
 
+
 def _pieces(path: str | None, capacity: int, end_id: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file = path or public_tokenizer()
