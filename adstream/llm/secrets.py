@@ -27,7 +27,11 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 MARKOV = "markov"
 _STATES = len(ALPHABET) + 1
-_SPAN = "array<struct<start: int, rank: int, end: int, kind: string>>"
+_SPAN_FIELDS = ("start", "rank", "end", "kind")
+# Inside, a span also has its places in bytes, at which texts can be cut without counting characters.
+_SPAN = "struct<start: int, rank: int, end: int, kind: string, from: int, to: int, token: string>"
+_SCAN_BLOCK = 256
+_MOST_HALVINGS = 26
 
 SAMPLE_DOCUMENTS = 500
 RANDOM_STRINGS = 4000
@@ -37,7 +41,40 @@ _PRIOR = 8.0
 
 
 def _no_spans() -> Column:
-    return F.from_json(F.lit("[]"), _SPAN)
+    return F.from_json(F.lit("[]"), f"array<{_SPAN}>")
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is made once, however often a lambda inside refers to it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _scan(items: Column, start: Column, step, emit, kind: str) -> Column:
+    """What ``emit`` makes of each item and of the state before it, which ``step`` moves on.
+
+    Arrays grow within blocks only, as each addition copies them, so the work grows with
+    the number of items and not with its square.
+    """
+    none, no_blocks = (F.from_json(F.lit("[]"), t) for t in (f"array<{kind}>", f"array<array<{kind}>>"))
+
+    def one(state: Column, item: Column) -> Column:
+        return F.struct(
+            step(state["at"], item).alias("at"), F.concat(state["out"], F.array(emit(state["at"], item))).alias("out")
+        )
+
+    def block(state: Column, some: Column) -> Column:
+        done = F.aggregate(some, F.struct(state["at"].alias("at"), none.alias("out")), one)
+        return _let(
+            done, lambda d: F.struct(d["at"].alias("at"), F.concat(state["out"], F.array(d["out"])).alias("out"))
+        )
+
+    def blocks(every: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(every) - 1) / _SCAN_BLOCK).cast("int"))
+        cut = F.transform(numbers, lambda b: F.slice(every, b * _SCAN_BLOCK + 1, F.lit(_SCAN_BLOCK)))
+        return F.when(F.size(every) > 0, cut).otherwise(F.slice(F.array(every), 1, 0))
+
+    first = F.struct(start.alias("at"), no_blocks.alias("out"))
+    return F.flatten(F.aggregate(_let(items, blocks), first, block)["out"])
 
 
 def find_spans(text: Column, pattern: str, group: int, least: int, kind: str, rank: int) -> Column:
@@ -45,37 +82,64 @@ def find_spans(text: Column, pattern: str, group: int, least: int, kind: str, ra
 
     A match begins where the texts between matches and the matches before it end.
     """
-    between = F.transform(F.split(text, pattern, -1), F.length)
-    matches = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
-    needed = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length)
-    zipped = F.transform(
-        matches,
-        lambda m, k: F.struct(F.get(between, k).alias("gap"), m.alias("size"), F.get(needed, k).alias("needed")),
-    )
-    placed = F.aggregate(
-        zipped,
-        F.struct(F.lit(0).alias("at"), _no_spans().alias("spans")),
-        lambda s, z: F.struct(
-            (s["at"] + z["gap"] + z["size"]).cast("int").alias("at"),
-            F.when(
-                z["needed"] >= least,
-                F.concat(
-                    s["spans"],
-                    F.array(
-                        F.struct(
-                            (s["at"] + z["gap"]).cast("int").alias("start"),
-                            F.lit(rank).alias("rank"),
-                            (s["at"] + z["gap"] + z["size"]).cast("int").alias("end"),
-                            F.lit(kind).alias("kind"),
-                        )
-                    ),
-                ),
+    whole_match = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = {"gap": F.split(text, pattern, -1), "match": whole_match}
+    if group:
+        found["needed"] = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+    def placed(parts: Column) -> Column:
+        # The text after the last match has none of its own.
+        zipped = F.slice(F.arrays_zip(*(parts[name] for name in found)), 1, F.size(parts["match"]))
+
+        def emit(at: Column, z: Column) -> Column:
+            start, begin = at["chars"] + F.length(z["gap"]), at["bytes"] + F.octet_length(z["gap"])
+            asked = z["needed"] if group else z["match"]
+            return F.struct(
+                start.alias("start"),
+                F.lit(rank).alias("rank"),
+                (start + F.length(z["match"])).alias("end"),
+                F.lit(kind).alias("kind"),
+                begin.alias("from"),
+                (begin + F.octet_length(z["match"])).alias("to"),
+                F.when(F.length(asked) >= least, z["match"]).alias("token"),
+            )
+
+        def step(at: Column, z: Column) -> Column:
+            return F.struct(
+                (at["chars"] + F.length(z["gap"]) + F.length(z["match"])).alias("chars"),
+                (at["bytes"] + F.octet_length(z["gap"]) + F.octet_length(z["match"])).alias("bytes"),
             )
-            .otherwise(s["spans"])
-            .alias("spans"),
-        ),
-    )["spans"]
-    return placed
+
+        zero = F.struct(F.lit(0).alias("chars"), F.lit(0).alias("bytes"))
+        return F.filter(_scan(zipped, zero, step, emit, _SPAN), lambda s: s["token"].isNotNull())
+
+    return _let(F.struct(*(value.alias(name) for name, value in found.items())), placed)
+
+
+def _how_many_below(ordered: Column, value: Column, inclusive: bool) -> Column:
+    """How many numbers of an ascending array are below ``value`` (or at most that), by halving."""
+
+    def halve(low: Column, step: Column) -> Column:
+        tried = F.get(ordered, low + step - 1)
+        return F.when(tried <= value if inclusive else tried < value, low + step).otherwise(low)
+
+    steps = F.array(*(F.lit(1 << k) for k in range(_MOST_HALVINGS, -1, -1)))
+    return F.aggregate(steps, F.lit(0), halve)
+
+
+def _apart(candidates: Column, spans: Column) -> Column:
+    """The candidates that overlap none of the spans; both in order, neither overlapping itself."""
+    places = F.struct(
+        F.transform(spans, lambda s: s["start"]).alias("starts"), F.transform(spans, lambda s: s["end"]).alias("ends")
+    )
+
+    def free(at: Column) -> Column:
+        return F.filter(
+            candidates,
+            lambda c: _how_many_below(at["starts"], c["end"], False) == _how_many_below(at["ends"], c["start"], True),
+        )
+
+    return F.when((F.size(candidates) > 0) & (F.size(spans) > 0), _let(places, free)).otherwise(candidates)
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -98,8 +162,10 @@ def labelled_strings(docs: DataFrame, text_col: str, sample_documents: int, rand
     n = docs.count()
     every = max(1, n // sample_documents)
     text = F.col(text_col).cast("string")
-    sample = docs.filter(F.pmod(F.xxhash64(text), F.lit(every)) == 0).select(whole(text).alias("body"))
-    sample = sample.limit(2 * sample_documents)
+    # Distinct texts, the first ones by hash: copies of a text fill no sample, and reruns agree.
+    hashed = docs.select(whole(text).alias("body"), F.xxhash64(whole(text)).alias("of"))
+    sample = hashed.filter(F.pmod("of", F.lit(every)) == 0).groupBy("of").agg(F.min("body").alias("body"))
+    sample = sample.orderBy("of").limit(2 * sample_documents).select("body")
     secret = sample.select(
         F.explode(
             F.flatten(
@@ -117,14 +183,21 @@ def labelled_strings(docs: DataFrame, text_col: str, sample_documents: int, rand
     plain = F.filter(
         F.transform(words(rest), lambda w: F.regexp_extract(w, r"[A-Za-z_-]+", 0)), lambda w: F.length(w) >= 2
     )
-    listed = sample.select(plain.alias("w"))
-    pair = F.transform(
-        "w",
-        lambda w, i: F.when(i % 3 == 0, F.concat_ws("_", w, F.get("w", i + 1), F.get("w", i + 2)))
-        .when(i % 3 == 1, F.concat_ws("-", w, F.get("w", i + 1)))
-        .otherwise(F.concat(w, F.initcap(F.coalesce(F.get("w", i + 1), F.lit(""))))),
-    )
-    ordinary = listed.select(F.explode(F.flatten(F.array("w", pair, F.transform("w", F.upper)))).alias("token"))
+
+    def joined(w: Column) -> Column:
+        """The words, in capitals too, and joined with the ones behind them."""
+        size = F.size(w)
+        later = [F.slice(w, k, F.greatest(size - (k - 1), F.lit(0))) for k in (2, 3)]
+        rows = F.slice(F.arrays_zip(w.alias("a"), later[0].alias("b"), later[1].alias("c")), 1, size)
+        pair = F.transform(
+            rows,
+            lambda r, i: F.when(i % 3 == 0, F.concat_ws("_", r["a"], r["b"], r["c"]))
+            .when(i % 3 == 1, F.concat_ws("-", r["a"], r["b"]))
+            .otherwise(F.concat(r["a"], F.initcap(F.coalesce(r["b"], F.lit(""))))),
+        )
+        return F.flatten(F.array(w, pair, F.transform(w, F.upper)))
+
+    ordinary = sample.select(F.explode(_let(plain, joined)).alias("token"))
     digest = F.sha2(F.concat(F.lit("sample-"), F.col("id").cast("string")), 512)
     raw = F.unhex(digest)
     token = (
@@ -181,12 +254,33 @@ def train(samples: DataFrame) -> list[float]:
 def likelihood_ratio(token: Column, table: list[float]) -> Column:
     """Mean log-likelihood ratio of a token's transitions."""
     weights = F.split(F.lit(",".join(f"{x:.5f}" for x in table)), ",").cast("array<double>")
-    states = _states(token)
-    terms = F.transform(states, lambda a, i: F.get(weights, a * _STATES + F.get(states, i + 1)))
-    total = F.aggregate(terms, F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
+
+    def terms(states: Column) -> Column:
+        following = F.slice(states, 2, F.greatest(F.size(states) - 1, F.lit(0)))
+        return F.zip_with(states, following, lambda a, b: F.get(weights, a * _STATES + b))
+
+    total = F.aggregate(_let(_states(token), terms), F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
     return total / F.greatest(F.length(token) - 1, F.lit(1))
 
 
+def _located(docs: DataFrame, text_col: str, threshold: float, sample_documents: int, random_strings: int) -> DataFrame:
+    """``row`` (all columns of ``docs``), ``body`` and ``spans``, with their places in bytes."""
+    table = train(labelled_strings(docs, text_col, sample_documents, random_strings))
+    rows = docs.select(F.struct("*").alias("row"), whole(F.col(text_col)).alias("body"))
+    text = F.col("body")
+    base = base_spans(text)
+    found = rows.withColumns({f"base_{kind}": spans for kind, spans in base.items()})
+    candidates = F.when(
+        text.rlike(CANDIDATE), find_spans(text, CANDIDATE, 0, 20, MARKOV, len(BASE_KINDS))
+    ).otherwise(_no_spans())
+    found = found.withColumn("free", candidates)
+    for kind in base:
+        found = found.withColumn("free", _apart(F.col("free"), F.col(f"base_{kind}")))
+    more = F.filter("free", lambda c: likelihood_ratio(c["token"], table) > threshold)
+    every = F.array_sort(F.concat(*(f"base_{kind}" for kind in base), more))
+    return found.select("row", "body", every.alias("spans"))
+
+
 def find_secrets(
     docs: DataFrame,
     text_col: str = "text",
@@ -204,26 +298,11 @@ def find_secrets(
     has no spans; equal rows get equal spans. Columns of ``docs`` stay, but for one
     called ``secrets``; an empty table gives an empty result.
     """
-    table = train(labelled_strings(docs, text_col, sample_documents, random_strings))
-    rows = docs.select(F.struct("*").alias("row"), whole(F.col(text_col)).alias("body"))
-    text = F.col("body")
-    found = rows.withColumn("base", F.array_sort(F.concat(*base_spans(text).values())))
-    candidates = F.when(
-        text.rlike(CANDIDATE), find_spans(text, CANDIDATE, 0, 20, MARKOV, len(BASE_KINDS))
-    ).otherwise(_no_spans())
-    free = F.filter(
-        candidates,
-        lambda c: ~F.exists("base", lambda b: (c["start"] < b["end"]) & (b["start"] < c["end"])),
-    )
-    found = found.withColumn("free", free)
-    more = F.filter(
-        "free",
-        lambda c: likelihood_ratio(F.substring(text, c["start"] + 1, c["end"] - c["start"]), table) > threshold,
-    )
     # The spans are made before the rows' own columns come back, whose names may be those used here.
-    done = found.select("row", F.array_sort(F.concat("base", more)).alias("spans"))
+    done = _located(docs, text_col, threshold, sample_documents, random_strings)
+    spans = F.transform("spans", lambda s: F.struct(*(s[f].alias(f) for f in _SPAN_FIELDS)))
     kept = [F.col("row")[c].alias(c) for c in docs.columns if c != "secrets"]
-    return done.select(*kept, F.col("spans").alias("secrets"))
+    return done.select(*kept, spans.alias("secrets"))
 
 
 def spans_text(spans: Column) -> Column:
@@ -233,22 +312,37 @@ def spans_text(spans: Column) -> Column:
     )
 
 
-def mask_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", **options) -> DataFrame:
+def mask_secrets(
+    docs: DataFrame,
+    text_col: str = "text",
+    mask: str = "[SECRET]",
+    threshold: float = THRESHOLD,
+    sample_documents: int = SAMPLE_DOCUMENTS,
+    random_strings: int = RANDOM_STRINGS,
+) -> DataFrame:
     """The rows of ``docs`` with every span of its text replaced by ``mask``; overlapping spans by one.
 
-    Texts without spans, also NULL, stay as they are.
+    Texts without spans, also NULL, stay as they are, and so do all other columns.
     """
-    found = find_secrets(docs, text_col, **options)
-    text = F.col(text_col)
-    state = F.aggregate(
-        "secrets",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda s, x: F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(x["start"] < s["at"], s["out"])
-            .otherwise(F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mask)))
-            .alias("out"),
-        ),
-    )
-    rest = F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
-    return found.withColumn(text_col, F.when(F.size("secrets") > 0, rest).otherwise(text)).drop("secrets")
+    done = _located(docs, text_col, threshold, sample_documents, random_strings)
+
+    def masked(given: Column) -> Column:
+        # Cut in bytes, as a place in characters is found by counting from the beginning.
+        raw, spans = given["raw"], given["spans"]
+
+        def cut(start: Column, end: Column) -> Column:
+            return F.substring(raw, start + 1, F.greatest(end - start, F.lit(0))).cast("string")
+
+        pieces = _scan(
+            spans,
+            F.lit(0),
+            lambda at, s: F.greatest(at, s["to"]),
+            lambda at, s: F.when(s["from"] < at, F.lit("")).otherwise(F.concat(cut(at, s["from"]), F.lit(mask))),
+            "string",
+        )
+        last = F.array_max(F.transform(spans, lambda s: s["to"]))
+        return F.concat(F.array_join(pieces, ""), cut(last, F.octet_length(raw)))
+
+    given = F.struct(F.col("body").cast("binary").alias("raw"), F.col("spans").alias("spans"))
+    text = F.when(F.size("spans") > 0, _let(given, masked)).otherwise(F.col("row")[text_col])
+    return done.select(*((text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns))

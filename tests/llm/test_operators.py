@@ -371,3 +371,27 @@ def test_unclosed_elements_end_with_their_block():
     assert read(f"<article><p>Here {math} holds.</p><object><p>Shown instead.</p></object></article>") == (
         "Here x=2 holds.\nShown instead."
     )
+
+
+def test_secret_spans_of_a_text_with_very_many(spark):
+    text = "é token=abcdefghij, x " * 3000 + "deadbeef" * 4
+    rows = table(spark, [text, "zQ9xK2vB7mW4tR8pL3nY6cJ1dF5gH0sA " * 600])
+    found = {r["doc_id"]: r["secrets"] for r in secrets.find_secrets(rows).collect()}
+    assert [(s["start"], s["end"]) for s in found[0]] == [(22 * i + 2, 22 * i + 18) for i in range(3000)] + [(66000, 66032)]
+    masked = {r["doc_id"]: r["text"] for r in secrets.mask_secrets(rows).collect()}
+    assert masked[0] == "é [SECRET], x " * 3000 + "[SECRET]"
+
+
+def test_planted_keys_are_found_and_words_are_not(spark):
+    import random
+
+    draw = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    names = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").limit(300)
+    clean = [re.sub(r"[A-Za-z0-9+/_=-]{20,}", "", r["text"] or "") for r in names.collect()]
+    keys = ["".join(draw.choice(letters) for _ in range(32)) for _ in range(100)]
+    texts = [f"{clean[i]} the value is {k} there" for i, k in enumerate(keys)] + clean[100:]
+    found = {r["doc_id"]: r["secrets"] for r in secrets.find_secrets(table(spark, texts)).collect()}
+    markov = lambda i: [texts[i][s["start"] : s["end"]] for s in found[i] if s["kind"] == "markov"]
+    assert sum(markov(i) == [k] for i, k in enumerate(keys)) >= 98
+    assert sum(bool(markov(i)) for i in range(100, len(texts))) <= 2
