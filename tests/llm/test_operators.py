@@ -395,3 +395,81 @@ def test_planted_keys_are_found_and_words_are_not(spark):
     markov = lambda i: [texts[i][s["start"] : s["end"]] for s in found[i] if s["kind"] == "markov"]
     assert sum(markov(i) == [k] for i, k in enumerate(keys)) >= 98
     assert sum(bool(markov(i)) for i in range(100, len(texts))) <= 2
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return float(any(a))
+    best = 0.0
+    per = fingerprints.PER_POWER
+    for level in range(0, len(a), per):
+        used = [(x, y) for x, y in zip(a[level : level + per], b[level : level + per]) if x or y]
+        best = max(best, sum(x == y for x, y in used) / max(len(used), per // 2))
+    return best
+
+
+@pytest.mark.parametrize("part_terms", [4_000_000, 100])
+def test_fingerprints_match_brute_force(spark, monkeypatch, part_terms):
+    monkeypatch.setattr(fingerprints, "PART_TERMS", part_terms)
+    texts = [" ".join(f"t{(i * 31 + k * k * (i % 7)) % 700}" for k in range(3 + i % 50)) for i in range(150)]
+    texts += ["", None, "one", "one", "Two words", BASE, BASE.upper()]
+    got = {r["doc_id"]: r for r in fingerprints.edit_likeness(table(spark, texts)).collect()}
+    plain = [t or "" for t in texts]
+    edited = [t[: len(t) - len(t) // 2] + plain[(i + 1) % len(plain)][: len(t) // 2] for i, t in enumerate(plain)]
+    # The edited texts are read with the corpus' own frequencies.
+    frequencies = collections.Counter(w for t in set(plain) for w in set(t.lower().encode().split()))
+    own, new = (_prints_with(some, frequencies, len(set(plain))) for some in (plain, edited))
+    missing = "-" * 8
+    written, hashed = {}, {}
+    for i, r in got.items():
+        for prints, text in ((own[i], r["fingerprint"]), (new[i], r["edited_fingerprint"])):
+            pieces = [text[k : k + 8] for k in range(0, len(text), 8)]
+            assert [p == missing for p in pieces] == [not s for s in prints]
+            for k, (piece, members) in enumerate(zip(pieces, prints)):
+                if members:
+                    # Equal sets have equal hashes, different ones different hashes.
+                    assert written.setdefault((k, members), piece) == piece
+                    assert hashed.setdefault((k, piece), members) == members
+        assert r["edited_sha256"] == hashlib.sha256(edited[i].encode()).hexdigest()
+        assert r["near_edited"] == pytest.approx(plain_likeness(own[i], new[i]))
+        assert r["near_next"] == pytest.approx(plain_likeness(own[i], own[(i + 1) % len(own)]))
+
+
+def _prints_with(texts, frequencies, size):
+    """Per text and randomised lexicon the set of its hashed terms."""
+    import math
+
+    import xxhash
+
+    out = []
+    for text in texts:
+        terms = {w.lower() for w in text.encode().split()}
+        away = {}
+        for w in terms:
+            df = frequencies.get(w, 0)
+            in_lexicon = df and df >= size * math.exp(-fingerprints.HIGH)
+            away[w] = max(0, math.ceil(fingerprints.LOW - math.log(size / df))) if in_lexicon else 127
+        widest = sorted(away.values())[7] if len(away) >= 8 else 127
+        hashed = {xxhash.xxh64_intdigest(w) for w in terms if away[w] <= widest}
+        parts = []
+        for k, power in enumerate(fingerprints.LEXICONS):
+            salt = 0x9E3779B97F4A7C15 * (k + 1) % 2**64
+            mixed = {h: ((h ^ salt) * 0xD6E8FEB86659FD93) % 2**64 for h in hashed}
+            parts.append(frozenset(h for h, m in mixed.items() if m >> (64 - power) == 0))
+        if hashed and not any(parts):
+            parts[0] = frozenset(hashed)
+        out.append(parts)
+    return out
+
+
+def test_edits_of_hot_and_null_ids(spark):
+    texts = [f"text {i} of an id that has very many rows w{i * i % 97}" for i in range(300)]
+    rows = [(None, t) for t in texts] + [(7, t) for t in texts] + [(i, t) for i, t in enumerate(texts[:40])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = fingerprints.edit_likeness(docs).collect()
+    assert collections.Counter(r["doc_id"] for r in got) == collections.Counter(i for i, _ in rows)
+    bounds = fingerprints._bounds(
+        docs.selectExpr("coalesce(doc_id, -9223372036854775808) AS first_key", "xxhash64(text) AS second_key"), 8
+    )
+    # Both hot ids are cut, and each bucket begins at a bound of its own.
+    assert min(sum(b[0] == key for b in bounds) for key in (-(1 << 63), 7)) >= 2 and len(bounds) == len(set(bounds))
