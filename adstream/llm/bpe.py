@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from adstream.llm.workercache import worker_cached
 
-# Words up to this many bytes are remembered, so the number bounds the bytes kept.
+# Words up to this many bytes are remembered, so the number bounds the bytes kept: when a table
+# is full it becomes the older one, and what is used again moves on to the new one.
 _CACHED_BYTES = 64
-_CACHED_WORDS = 200_000
+_CACHED_WORDS = 150_000
 # Letters that a transducer gathers beyond its lookahead before it merges them.
 _BLOCK_LETTERS = 4096
 # A text without white space is prepared in runs of about this many characters.
@@ -156,8 +157,8 @@ class Encoder:
         self.marks = [c.encode() for c in self.special]
         strings = sorted(self.special, key=len, reverse=True)
         self.special_pattern = re.compile(f"({'|'.join(map(re.escape, strings))})") if strings else None
-        self.words: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.words, self.older_words = {}, {}
+        self.letters, self.older_letters = {}, {}
         self.byte_letters = _byte_letters()
 
     def ids(self, text: bytes) -> bytes:
@@ -177,11 +178,12 @@ class Encoder:
         return b"".join([known.get(word) or self._word(word) for word in text.split()])
 
     def _word(self, word: bytes) -> bytes:
+        if value := self.words.get(word) or self.older_words.get(word):
+            self.words[word] = value
+            return value
         text = word.decode()
         if len(word) > _CACHED_BYTES:
             return _packed(self._stream(text))
-        if len(self.words) >= _CACHED_WORDS:
-            self.words.clear()
         # Words differ in capitals and in marks at their end more than in their letters.
         stem = text.rstrip(_MARKS)
         marks = text[len(stem) :].encode()
@@ -189,14 +191,14 @@ class Encoder:
             value = self._lower(stem.lower()) + (self.words.get(marks) or self._word(marks) if marks else b"")
         else:
             value = _packed(self._stream(text))
+        if len(self.words) >= _CACHED_WORDS:
+            self.words, self.older_words = {}, self.words
         self.words[word] = value
         return value
 
     def _lower(self, letters: str) -> bytes:
-        known = self.letters.get(letters)
+        known = self.letters.get(letters) or self.older_letters.get(letters)
         if known is None:
-            if len(self.letters) >= _CACHED_WORDS:
-                self.letters.clear()
             if not letters.isalpha():  # a capital that becomes a letter and a mark
                 known = _packed(self._stream(letters))
             else:
@@ -205,7 +207,9 @@ class Encoder:
                     spelled = letters.encode().decode("latin-1").translate(self.byte_letters)
                 transducer = Transducer(self.tokenizer.model.tokenize, self.lookahead)
                 known = _packed([*transducer.feed(spelled), *transducer.end()])
-            self.letters[letters] = known
+        if len(self.letters) >= _CACHED_WORDS:
+            self.letters, self.older_letters = {}, self.letters
+        self.letters[letters] = known
         return known
 
     def _stream(self, text: str) -> Iterator[int]:
