@@ -1,7 +1,8 @@
 """A pipeline that prepares ``documents`` for training, in five stages.
 
 Each stage takes what its predecessor kept, as a written table with the columns of
-documents, and its decisions take effect on it.
+documents, whatever others there are beside those it reads, and its decisions take effect on it.
+An empty table passes through; NULL texts and texts without words go with the first stage.
 """
 
 from __future__ import annotations
@@ -16,34 +17,46 @@ from adstream.llm.quality import assess_quality
 from adstream.llm.scratch import Scratch
 from adstream.llm.secrets import mask_secrets
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+def _packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """Rows as one column, so that no name in them meets a name that a stage uses, beside those it reads."""
+    return docs.select(F.struct("*").alias("row"), *columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return assess_quality(docs).filter("kept").select(docs.columns)
+    return assess_quality(_packed(docs, "text"), columns=["row"]).filter("kept").select("row.*")
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the row with the smallest id stays; of repeated rows one."""
-    groups = near_duplicates(docs)
-    first = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
-    nameless = docs.filter("doc_id IS NULL")
-    named = docs.join(first, F.col("doc_id") == F.col("_keep"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(nameless)
+    """Of each group of near duplicates one row stays: the one with the smallest id, NULL last.
+
+    Rows are told apart by a number of their own, so repeated and NULL ids are rows like
+    others: no text goes but for a near one that stays, and of repeated rows one stays.
+    """
+    scratch = Scratch(spark, "near-duplicate-removal")
+    numbered = _packed(docs, "text").withColumn("number", F.monotonically_increasing_id())
+    numbered = scratch.save(numbered, "numbered")
+    groups = near_duplicates(numbered, id_col="number").select(
+        F.col("number").alias("member"), F.col("component_id").alias("component")
+    )
+    order = F.struct(F.col("row.doc_id").isNull(), "row.doc_id", F.xxhash64("text"), "number")
+    ids = numbered.select("number", order.alias("order"))
+    members = groups.join(ids, F.col("member") == F.col("number"))
+    first = members.groupBy("component").agg(F.min("order").alias("first")).select(F.col("first.number").alias("keep"))
+    return numbered.join(first, F.col("number") == F.col("keep"), "left_semi").select("row.*")
 
 
 def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; every document stays."""
-    masked = mask_secrets(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return masked.select(docs.columns)
+    masked = mask_secrets(docs)
+    return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document comes as often as the mix takes it, which may be not at all."""
-    mixed = mix_sources(docs, keep=("text", "lang", "source", "n_chars"))
-    copies = F.explode(F.expr("sequence(1, copies)")).alias("_copy")
-    return mixed.filter("copies > 0").select("*", copies).select(docs.columns)
+    mixed = mix_sources(_packed(docs, "doc_id", "text", "source"), keep=("row",))
+    copies = F.explode(F.expr("sequence(1, copies)"))
+    return mixed.filter("copies > 0").select("row", copies).select("row.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,11 +76,11 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
     scratch = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(COLUMNS)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = scratch.save(stage(spark, docs, sf_dir), name)
     return docs
 
 
-# Models and packings are beyond SQL; the stages are tested against brute force.
+# Models and packings are beyond SQL; tests/llm/test_pipeline.py holds each stage's effect against plain Python.
 ORACLE_SQL = None
