@@ -33,8 +33,9 @@ from adstream.schemas import (
 from adstream.session import scratch_path
 from adstream.sources import adevents, tables
 from adstream.streaming import replay as r
+from adstream.streaming.deferred import DeferredPaths, start_deferred_flags
 from adstream.streaming.runner import await_all, run_pipeline
-from adstream.streaming.sinks import start_alerts, start_append, start_click_flags, start_messages
+from adstream.streaming.sinks import start_alerts, start_append, start_click_flags, start_dated, start_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +43,8 @@ WHOLE_TABLE = FraudRules(flood_clicks=13, bot_campaigns=48)
 TEN_MINUTES = FraudRules(flood_clicks=1, bot_campaigns=1)
 DAILY = FraudRules(flood_clicks=1, bot_campaigns=8, click_window="1 day", alert_window="1 day")
 PUBLISHED = FraudRules()
+# Which events a replay holds back until all windows have closed.
+LATE = "event_id % 7 = 0"
 
 
 def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,6 +156,27 @@ def stream_flag_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _appended(spark, r.replay(spark, start, "flags"), SILVER_CLICK)
 
 
+def _deferred(name: str, late: str | None) -> Query:
+    """Clicks from a dated bronze table, flagged when their windows have closed.
+
+    Events for which ``late`` holds come after all windows have closed.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = adevents.events_table(spark, sf_dir)
+        phases = [events] if late is None else [events.filter(f"NOT ({late})"), None, events.filter(late)]
+
+        def run(feed: DataFrame, root: str) -> None:
+            paths = DeferredPaths(*(f"{root}/{n}" for n in ("bronze", "silver", "verdicts", "ledger", "flags")))
+            clicks = adevents.with_instants(adevents.clicks(feed))
+            start_dated(clicks, paths.bronze, f"{root}/arrival", trigger=r.TO_THE_END).awaitTermination()
+            start_deferred_flags(spark, paths, TEN_MINUTES, trigger=r.TO_THE_END).awaitTermination()
+
+        return _appended(spark, f"{r.replay_in_phases(spark, name, phases, run)}/silver", SILVER_CLICK)
+
+    return query
+
+
 def stream_flag_clicks_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start(closing: str, table: str, checkpoint: str):
         clicks = r.without_closing(r.topic_stream(spark, sf_dir, "clicks", closing))
@@ -254,6 +278,8 @@ QUERIES: dict[str, Query] = {
     "stream_bronze_clicks": stream_bronze_clicks,
     "stream_dedupe": stream_dedupe,
     "stream_flag_clicks": stream_flag_clicks,
+    "stream_flag_clicks_deferred": _deferred("deferred", None),
+    "stream_late_clicks": _deferred("late", LATE),
     "stream_flag_clicks_microbatch": stream_flag_clicks_microbatch,
     "stream_flag_orphans": _stream_orphans(prior_only=False),
     "stream_orphans_prior_only": _stream_orphans(prior_only=True),

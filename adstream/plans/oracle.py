@@ -56,6 +56,14 @@ def _flagged(flood: int, bot: int, scope: str) -> str:
 )"""
 
 
+def _flagged_late(flood: int, bot: int, scope: str, late: str) -> str:
+    """CTE ``flagged``: all clicks, flagged by the counts of those that are not late."""
+    whole = _flagged(flood, bot, scope)
+    counted = whole.replace("FROM scoped GROUP BY", f"FROM scoped WHERE NOT ({late}) GROUP BY")
+    counted = counted.replace(f"u.n > {flood} AS", f"coalesce(u.n > {flood}, FALSE) AS")
+    return counted.replace(f"i.n > {bot} AS", f"coalesce(i.n > {bot}, FALSE) AS")
+
+
 def _alerts(flagged: str, width: str) -> str:
     """CTE ``alerts``: flagged clicks rolled up per window of the width and campaign."""
     return f"""{flagged}, counted AS (
@@ -89,6 +97,9 @@ def _orphans(latest: str) -> str:
 
 _WHOLE = _flagged(13, 48, "1")
 _TEN_MINUTES = _flagged(1, 1, "time_bucket(INTERVAL '10 minutes', timestamp)")
+_LATE = _flagged_late(
+    1, 1, "time_bucket(INTERVAL '10 minutes', timestamp)", "CAST(substr(event_id, 2) AS BIGINT) % 7 = 0"
+)
 _DAILY = _flagged(1, 8, "time_bucket(INTERVAL '1 day', timestamp)")
 _PUBLISHED = _flagged(50, 20, "time_bucket(INTERVAL '10 minutes', timestamp)")
 _ROW_LOCAL = f"""{_BASE}, flagged AS (
@@ -143,6 +154,8 @@ ORACLE_SQL: dict[str, str] = {
     "stream_dedupe": _BASE
     + " SELECT DISTINCT * FROM (SELECT * FROM clicks UNION ALL SELECT * FROM clicks)",
     "stream_flag_clicks": _TEN_MINUTES + " SELECT * FROM flagged",
+    "stream_flag_clicks_deferred": _TEN_MINUTES + " SELECT * FROM flagged",
+    "stream_late_clicks": _LATE + " SELECT * FROM flagged",
     "stream_flag_clicks_microbatch": _WHOLE + " SELECT * FROM flagged",
     "stream_flag_orphans": _BOTH_WAYS + " SELECT * FROM checked",
     "stream_orphans_prior_only": _PRIOR + " SELECT * FROM checked",

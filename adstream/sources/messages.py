@@ -57,10 +57,11 @@ def read_messages(
     """Unparsed messages from any source that has a ``value`` column.
 
     Files of messages need no connector: Parquet with a binary ``value``, or text
-    with one message per line. Files that expire before they are read are passed over.
+    with one message per line. A stream passes over files that expire before it reads them; for a
+    table a missing file is an error.
     """
     reader = (spark.readStream if streaming else spark.read).format(source_format)
-    if source_format in ("parquet", "text"):
+    if streaming and source_format in ("parquet", "text"):
         reader = reader.option("ignoreMissingFiles", "true")
     if source_format == "parquet":
         reader = reader.schema("value BINARY")

@@ -40,3 +40,34 @@ def numbered_directories(spark: SparkSession, path: str, name: str) -> list[int]
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True if a Spark job has written this directory to its end."""
     return exists(spark, f"{path}/_SUCCESS")
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    if not _file_system(spark, source).rename(_path(spark, source), _path(spark, target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names of what is in a directory, in order; none if it does not exist."""
+    if not exists(spark, path):
+        return []
+    return sorted(s.getPath().getName() for s in _file_system(spark, path).listStatus(_path(spark, path)))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    stream = _file_system(spark, path).open(_path(spark, path))
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; readers see it whole or not at all."""
+    staged = re.sub(r"([^/]*)$", r".staged-\1", path)
+    stream = _file_system(spark, staged).create(_path(spark, staged), True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    rename(spark, staged, path)

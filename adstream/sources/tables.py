@@ -42,14 +42,20 @@ def read_table(
     The schema is given, never inferred, so an empty table can be read. It includes
     the batch number: a stream that starts before the first batch would otherwise
     not expect the column that the directory names add. A stream takes at most
-    ``max_files_per_trigger`` new files in a micro-batch and the rest in later ones.
+    ``max_files_per_trigger`` new files in a micro-batch and the rest in later ones. For a table
+    a missing file is an error.
     """
+    if not streaming and table_format == "parquet" and storage.exists(spark, f"{path}/_log"):
+        from adstream.sources import dated
+
+        return dated.read_dated(spark, path, schema).select(schema.fieldNames())
     reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger) if streaming else spark.read
     if table_format != "parquet":
         return reader.format(table_format).load(path).select(schema.fieldNames())
     stored = _with_batch_id(schema)
-    found = reader.schema(stored).option("ignoreMissingFiles", "true").parquet(path)
-    return found.select(schema.fieldNames())
+    if streaming:
+        reader = reader.option("ignoreMissingFiles", "true")
+    return reader.schema(stored).parquet(path).select(schema.fieldNames())
 
 
 def _with_batch_id(schema: StructType) -> StructType:
@@ -86,17 +92,19 @@ def check_owner(spark: SparkSession, path: str, checkpoint: str) -> None:
         raise ValueError(f"{path} was written under another checkpoint than {checkpoint}")
 
 
-def replace_table(rows: DataFrame, path: str, version: int, keep: int = 2) -> None:
-    """Write the whole table as a new version and drop all but the last ones.
+def replace_table(rows: DataFrame, path: str, version: int, keep: int = 2) -> bool:
+    """Write the whole table as a new version and drop all but the last ones; False if it was there.
 
     Readers stay on complete versions; a version is replaced only while incomplete.
     """
     spark = rows.sparkSession
     target = f"{path}/version={version}"
-    if not storage.is_complete(spark, target):
+    new = not storage.is_complete(spark, target)
+    if new:
         rows.write.mode("overwrite").parquet(target)
     for old in storage.numbered_directories(spark, path, "version")[:-keep]:
         storage.delete(spark, f"{path}/version={old}")
+    return new
 
 
 def read_latest(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

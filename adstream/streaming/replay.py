@@ -95,6 +95,29 @@ def state_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def replay_in_phases(
+    spark: SparkSession, name: str, phases: list[DataFrame], run: Callable[[DataFrame, str], None]
+) -> str:
+    """Add stored events to a feed, phase by phase, and run queries to their end after each.
+
+    Every phase is a restart: ``run`` gets the stream of the feed and the folder below which its
+    tables and checkpoints are, and starts its queries anew. The closing events come
+    last, or where ``phases`` has None. Returns the folder.
+    """
+    root = scratch_path(spark, name)
+    closing = [
+        spark.sql(_CLOSING.format(n=n, id=number, later=_LATER)).coalesce(1) for n, number in _CLOSING_IDS.items()
+    ]
+    steps = []
+    for phase in phases if None in phases else [*phases, None]:
+        steps += closing if phase is None else [phase]
+    for step in steps:
+        step.write.mode("append").parquet(f"{root}/feed")
+        with state_partitions(spark):
+            run(spark.readStream.schema(adevents.EVENTS_DDL).parquet(f"{root}/feed"), root)
+    return root
+
+
 def replay(
     spark: SparkSession, start: Callable[[str, str, str], StreamingQuery], name: str
 ) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from adstream.config import FraudRules
 from adstream.operators.clicks import flag_clicks
 from adstream.operators.parse import encode_events
-from adstream.sources import storage, tables
+from adstream.sources import dated, storage, tables
 
 Trigger = dict[str, object]
 
@@ -65,6 +65,23 @@ def start_batches(
     return _start(writer.option("checkpointLocation", checkpoint), name, trigger)
 
 
+def start_dated(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    name: str | None = None,
+    trigger: Trigger = EVENT_TRIGGER,
+) -> StreamingQuery:
+    """Append a stream to a table of batches that are split by event date."""
+    tables.check_owner(stream.sparkSession, path, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not dated.append_dated(batch, path, batch_id):
+            _run_through(batch)
+
+    return start_batches(stream, write, checkpoint, name, trigger)
+
+
 def start_click_flags(
     clicks: DataFrame,
     path: str,
@@ -131,11 +148,18 @@ def start_alerts(
 
 
 def _replace(path: str, rows: DataFrame, batch_id: int) -> None:
-    tables.replace_table(rows, path, batch_id)
+    if not tables.replace_table(rows, path, batch_id):
+        _run_through(rows)
 
 
 def _append(path: str, rows: DataFrame, batch_id: int) -> None:
-    tables.append_batch(rows, path, batch_id)
+    if not tables.append_batch(rows, path, batch_id):
+        _run_through(rows)
+
+
+def _run_through(rows: DataFrame) -> None:
+    """Compute a replayed batch that was written before: its state is committed by nothing else."""
+    rows.write.format("noop").mode("overwrite").save()
 
 
 def _start(writer, name: str | None, trigger: Trigger) -> StreamingQuery:

@@ -1,6 +1,7 @@
 """Stateful operators on streams, fed one file per micro-batch."""
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from adstream import (
     FraudRules,
@@ -181,3 +182,28 @@ def test_dedupe_of_a_stream(spark, tmp_path, feed):
     run_to_end(dedupe_events(source.stream()), tmp_path / "out")
     found = spark.read.schema(source.schema).parquet(str(tmp_path / "out"))
     assert rows_of(found, "event_id") == [("a",), ("b",), ("t",), ("t",), (None,), (None,)]
+
+
+@pytest.mark.parametrize("mode", ["update", "complete"])
+def test_a_batch_that_was_written_but_not_committed_is_replayed(spark, tmp_path, feed, monkeypatch, mode):
+    source = feed()
+    for times in LATE_FEED:
+        source.add(clicks_at(spark, *times))
+    path, checkpoint = str(tmp_path / "gold"), str(tmp_path / "checkpoint")
+    run = lambda: start_alerts(
+        fraud_alerts(unflagged(source.stream())), path, checkpoint, mode, trigger=NOW
+    ).awaitTermination()
+    name = {"update": "append_batch", "complete": "replace_table"}[mode]
+    write = getattr(tables, name)
+
+    def crash(*arguments):
+        write(*arguments)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, name, crash)
+        with pytest.raises(StreamingQueryException):
+            run()
+    run()
+    found = tables.read_alerts(spark, path, mode)
+    assert found.agg(F.sum("total_clicks")).first()[0] == (8 if mode == "complete" else 7)
