@@ -18,7 +18,7 @@ from adstream.llm.workercache import worker_cached
 # Words up to this many bytes are remembered, so the number bounds the bytes kept: when a table
 # is full it becomes the older one, and what is used again moves on to the new one.
 _CACHED_BYTES = 64
-_CACHED_WORDS = 150_000
+_CACHED_WORDS = 300_000
 # Letters that a transducer gathers beyond its lookahead before it merges them.
 _BLOCK_LETTERS = 4096
 # A text without white space is prepared in runs of about this many characters.
@@ -205,8 +205,8 @@ class Encoder:
                 spelled = letters
                 if not letters.isascii():
                     spelled = letters.encode().decode("latin-1").translate(self.byte_letters)
-                transducer = Transducer(self.tokenizer.model.tokenize, self.lookahead)
-                known = _packed([*transducer.feed(spelled), *transducer.end()])
+                # A pre-token that fits a block is merged when it ends.
+                known = _packed([token.id for token in self.tokenizer.model.tokenize(spelled)])
         if len(self.letters) >= _CACHED_WORDS:
             self.letters, self.older_letters = {}, self.letters
         self.letters[letters] = known
