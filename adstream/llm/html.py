@@ -6,9 +6,10 @@ import html as references
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,13 +20,18 @@ _RAW = "script|style|textarea|title"
 # Elements whose text is left out, without a break in the text around them; an unclosed one ends with its parent block,
 # or where a block begins if no end tag follows at all.
 _SILENT = frozenset("noscript template svg iframe canvas select button annotation annotation-xml".split())
+# Up to the end of a tag: a quote is read as one of a pair if it has a partner and the tag then ends,
+# and else as a character. Nothing is tried twice, so the time does not depend on the quotes.
+_TAG_REST = r"""(?:(?:"[^"]*"|'[^']*'|[^>"']+|["'])*+(?=>)|[^>]*+)"""
 _MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)"
-    rf"|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>"
-    r"|<[!?/][^>]*>",
+    rf"<!--.*?(?P<comment>-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?P<cdata_end>\]\]>|\Z)"
+    rf"|<(?P<raw>{_RAW})\b{_TAG_REST}(?:(?<=/)>|>.*?(?P<raw_end></(?P=raw)\s*>|\Z))"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>{_TAG_REST})>"
+    r"|<[!?/][^>]*+>",
     re.DOTALL | re.IGNORECASE,
 )
+# A tag or comment that the end of the page cuts off.
+_CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
 _BLOCKS = frozenset(
@@ -59,31 +65,96 @@ _LAYOUT_WORD = re.compile(
 )
 # A host's path with a smaller share of a page's text is not the one of its main text.
 _LEAST_SHARE = 0.2
-_CLOSES_P = _BLOCKS
+_SAME_ITEM = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
 _ITEM_ENDS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
 
 
+# Longer paths are written by a hash of their beginning, so nesting costs no more than its tags.
+_LONGEST_PATH = 400
+# Beyond this depth a container is no better for being deeper.
+_DEEPEST = 50
+
+
 @dataclass
 class Block:
-    """A run of text between block boundaries, with the containers around it."""
+    """A run of text between block boundaries, with the innermost container around it (or -1)."""
 
-    containers: tuple[int, ...]
+    container: int
     aside: bool
     tag: str = ""
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
+    @cached_property
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
+    @property
+    def value(self) -> int:
+        return 0 if self.aside else max(0, len(self.text) - 2 * self.linked)
+
 
 @dataclass
 class Page:
+    """Blocks in order, and of each container its path, tag, depth and the container above it (or -1)."""
+
     blocks: list[Block]
     paths: list[str]
     tags: list[str]
+    depths: list[int] = field(default_factory=list)
     above: list[int] = field(default_factory=list)
 
+    def summed(self, own: list[int]) -> list[int]:
+        """Numbers of containers with those of the containers inside; a container comes after the one above it."""
+        total = list(own)
+        for c in range(len(total) - 1, -1, -1):
+            if self.above[c] >= 0:
+                total[self.above[c]] += total[c]
+        return total
+
+
+class _Open:
+    """The open elements. Where those of a kind are is kept beside them, so that no question searches the stack."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, tuple[list[int], ...]]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks, self.silent, self.asides, self.links, self.semantic = [], [], [], [], []
+        self.containers: list[int] = []
+        self.container_places: list[int] = []
+
+    def last(self, tag: str) -> int:
+        at = self.places.get(tag)
+        return at[-1] if at else -1
+
+    def push(self, tag: str, aside: bool, container: int) -> None:
+        place = len(self.stack)
+        kinds = [self.places.setdefault(tag, [])]
+        for wanted, kind in (
+            (tag in _BLOCKS, self.blocks),
+            (tag in _SILENT, self.silent),
+            (aside, self.asides),
+            (tag == "a", self.links),
+            (tag in _SEMANTIC, self.semantic),
+            (container >= 0, self.container_places),
+        ):
+            if wanted:
+                kinds.append(kind)
+        for kind in kinds:
+            kind.append(place)
+        if container >= 0:
+            self.containers.append(container)
+        self.stack.append((tag, tuple(kinds)))
+
+    def cut(self, depth: int) -> None:
+        """End all elements from this one on."""
+        while len(self.stack) > depth:
+            _, kinds = self.stack.pop()
+            for kind in kinds:
+                kind.pop()
+            if len(self.containers) > len(self.container_places):
+                self.containers.pop()
+
 
 def _step(tag: str, attributes: str) -> str:
     """A path step: the tag and its first class, with numbers generalised."""
@@ -124,86 +195,109 @@ def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
     return not in_article or (tag in _BLOCKS and tag not in _PHRASES)
 
 
+def _path(above: str, step: str) -> str:
+    if len(above) > _LONGEST_PATH:
+        above = f"/#{xxhash.xxh64_hexdigest(above.encode())}"
+    return f"{above}/{step}"
+
+
+def _tokens(document: str) -> Iterator[tuple[str, re.Match | None]]:
+    """Text and the markup behind it, in turn; nothing is a tag that has no end."""
+    end = document.rfind(">") + 1
+    at = 0
+    for found in _MARKUP.finditer(document, 0, end):
+        yield document[at : found.start()], found
+        at = found.end()
+        # What is still open where the last tag of the page ends, goes on to the end of the page.
+        if "" in (found["comment"], found["cdata_end"], found["raw_end"]):
+            if found["cdata"] is not None:
+                yield document[end:], None
+            return
+    rest = document[at:]
+    cut = _CUT_OFF.search(rest, end - at if end > at else 0)
+    yield rest[: cut.start()] if cut else rest, None
+
+
 def parse(document: str) -> Page:
-    """The page's text blocks in order; unclosed and stray tags are put up with."""
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, aside, link, container or -1
+    """The page's text blocks in order; unclosed and stray tags are put up with.
+
+    The work grows with the length of the page, however deep its elements nest. A tag that the
+    end of the page cuts off is no text.
+    """
+    opened = _Open()
     page = Page([], [], [])
     block: Block | None = None
 
     def put(text: str) -> None:
         nonlocal block
-        if any(s[0] in _SILENT for s in stack):
+        if opened.silent:
             return
         if block is None:
             if not text.strip():
                 return
-            inner = next((s[0] for s in reversed(stack) if s[0] in _BLOCKS), "")
-            block = Block(tuple(c for *_, c in stack if c >= 0), any(s[1] for s in stack), inner)
+            inner = opened.stack[opened.blocks[-1]][0] if opened.blocks else ""
+            block = Block(opened.containers[-1] if opened.containers else -1, bool(opened.asides), inner)
             page.blocks.append(block)
         block.parts.append(text)
-        if any(s[2] for s in stack):
+        if opened.links:
             block.linked += len(text.strip())
 
     ends: dict[str, int] = {}
+    lowered = ""
 
     def last_end(tag: str) -> int:
+        nonlocal lowered
         if tag not in ends:
-            ends[tag] = document.lower().rfind(f"</{tag}")
+            lowered = lowered or document.lower()
+            ends[tag] = lowered.rfind(f"</{tag}")
         return ends[tag]
 
-    at = 0
-    for found in _MARKUP.finditer(document):
-        if found.start() > at:
-            put(references.unescape(document[at : found.start()]))
-        at = found.end()
+    for text, found in _tokens(document):
+        if text:
+            put(references.unescape(text))
+        if found is None:
+            continue
         if (cdata := found["cdata"]) is not None:
             put(cdata)
         tag = (found["tag"] or "").lower()
         if not tag:
             continue
-        if tag in _BLOCKS:
+        is_block = tag in _BLOCKS
+        if is_block:
             block = None
         if tag == "br":
             put(" ")
         if found["close"]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
-            if depth >= 0 and (tag in _BLOCKS or all(s[0] not in _BLOCKS for s in stack[depth:])):
-                if any(s[1] for s in stack[depth:]):
+            depth = opened.last(tag)
+            if depth >= 0 and (is_block or not opened.blocks or opened.blocks[-1] < depth):
+                if opened.asides and opened.asides[-1] >= depth:
                     block = None
-                del stack[depth:]
+                opened.cut(depth)
             continue
         attributes = found["attributes"] or ""
-        if tag in _VOID or attributes.endswith("/") and tag not in _BLOCKS:
+        if tag in _VOID or attributes.endswith("/") and not is_block:
             continue
-        if tag in _BLOCKS:
-            open_at = next((i for i, s in enumerate(stack) if s[0] in _SILENT), -1)
-            if open_at >= 0 and at > last_end(stack[open_at][0]):
-                del stack[open_at:]
-        if tag in _CLOSES_P:
-            open_p = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), -1)
-            if open_p >= 0:
-                del stack[open_p:]
+        if is_block:
+            if opened.silent and found.end() > last_end(opened.stack[opened.silent[0]][0]):
+                opened.cut(opened.silent[0])
+            if (open_p := opened.last("p")) >= 0:
+                opened.cut(open_p)
         if tag in _ITEM_ENDS:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in _ITEM_ENDS[tag]:
-                    break
-                if stack[i][0] == tag or {stack[i][0], tag} in ({"dt", "dd"}, {"td", "th"}):
-                    del stack[i:]
-                    break
+            same = max(opened.last(t) for t in _SAME_ITEM.get(tag, (tag,)))
+            if same > max(opened.last(t) for t in _ITEM_ENDS[tag]):
+                opened.cut(same)
         container = -1
         if tag in _CONTAINERS:
-            step = _step(tag, attributes)
-            above = next((c for *_, c in reversed(stack) if c >= 0), -1)
+            above = opened.containers[-1] if opened.containers else -1
             container = len(page.paths)
-            page.paths.append(f"{page.paths[above] if above >= 0 else ''}/{step}")
+            page.paths.append(_path(page.paths[above] if above >= 0 else "", _step(tag, attributes)))
             page.tags.append(tag)
+            page.depths.append(page.depths[above] + 1 if above >= 0 else 1)
             page.above.append(above)
-        aside = _is_aside(tag, attributes, any(s[0] in _SEMANTIC for s in stack))
+        aside = _is_aside(tag, attributes, bool(opened.semantic))
         if aside:
             block = None
-        stack.append((tag, aside, tag == "a", container))
-    if at < len(document):
-        put(references.unescape(document[at:]))
+        opened.push(tag, aside, container)
     return page
 
 
@@ -212,26 +306,18 @@ def score_containers(page: Page) -> dict[str, float]:
     chars = [0] * len(page.paths)
     total = 0
     for block in page.blocks:
-        if block.aside:
-            continue
-        size = len(block.text())
-        value = max(0, size - 2 * block.linked)
-        total += value
-        for c in block.containers:
-            chars[c] += value
+        total += block.value
+        if block.container >= 0:
+            chars[block.container] += block.value
     scores: dict[str, float] = {}
-    for path, tag, n in zip(page.paths, page.tags, chars):
+    for path, tag, depth, n in zip(page.paths, page.tags, page.depths, page.summed(chars)):
         share = n / total if total else 0.0
         if share > 0:
-            depth = path.count("/")
-            scores[path] = scores.get(path, 0.0) + share * share * (1 + 0.01 * depth) + (0.5 * share if tag in _SEMANTIC else 0.0)
+            more = share * share * (1 + 0.01 * min(depth, _DEEPEST)) + (0.5 * share if tag in _SEMANTIC else 0.0)
+            scores[path] = scores.get(path, 0.0) + more
     return scores
 
 
-def _value(block: Block) -> int:
-    return 0 if block.aside else max(0, len(block.text()) - 2 * block.linked)
-
-
 def _with_headings(page: Page, chosen: set[int]) -> set[int]:
     """The containers, each extended to its parent as long as that has headings or paragraphs beside it.
 
@@ -241,18 +327,19 @@ def _with_headings(page: Page, chosen: set[int]) -> set[int]:
     n = len(page.paths)
     blocks, chars, linked, own = [0] * n, [0] * n, [0] * n, [0] * n
     for block in page.blocks:
-        if block.aside or not block.containers:
+        if block.aside or block.container < 0:
             continue
-        size = len(block.text())
-        for c in block.containers:
-            blocks[c] += 1
-            chars[c] += size
-            linked[c] += block.linked
+        size = len(block.text)
+        blocks[block.container] += 1
+        chars[block.container] += size
+        linked[block.container] += block.linked
         if (block.tag in _HEADINGS or block.tag == "p") and size > 2 * block.linked:
-            own[block.containers[-1]] += 1
-    out = set()
-    for c in chosen:
-        while (parent := page.above[c]) >= 0:
+            own[block.container] += 1
+    blocks, chars, linked = page.summed(blocks), page.summed(chars), page.summed(linked)
+    reached: dict[int, int] = {}
+    for start in sorted(chosen):
+        c, passed = start, []
+        while c not in reached and (parent := page.above[c]) >= 0:
             rest = blocks[parent] - blocks[c]
             if page.tags[parent] in ("html", "body"):
                 wanted = own[parent] == rest
@@ -261,9 +348,19 @@ def _with_headings(page: Page, chosen: set[int]) -> set[int]:
             # A wrapper with nothing of its own is passed, for what is beside it.
             if rest and not wanted:
                 break
+            passed.append(c)
             c = parent
-        out.add(c)
-    return out
+        for p in (*passed, c):
+            reached[p] = reached.get(c, c)
+    return {reached[c] for c in chosen}
+
+
+def _inside(page: Page, chosen: set[int]) -> list[bool]:
+    """Whether each container is one of the chosen ones or inside one."""
+    inside: list[bool] = []
+    for c, above in enumerate(page.above):
+        inside.append(c in chosen or (above >= 0 and inside[above]))
+    return inside
 
 
 def extract(page: Page, path: str | None) -> str:
@@ -272,14 +369,16 @@ def extract(page: Page, path: str | None) -> str:
     If ``path`` has little of the page's text, the page's own best path is read instead.
     """
     chosen = {c for c, p in enumerate(page.paths) if p == path}
-    here = sum(_value(b) for b in page.blocks if chosen.intersection(b.containers))
-    if not here or here < _LEAST_SHARE * sum(map(_value, page.blocks)):
+    inside = _inside(page, chosen)
+    here = sum(b.value for b in page.blocks if b.container >= 0 and inside[b.container])
+    if not here or here < _LEAST_SHARE * sum(b.value for b in page.blocks):
         scores = score_containers(page)
         best = max(scores, key=lambda p: (scores[p], p), default=path)
         chosen = {c for c, p in enumerate(page.paths) if p == best}
-    chosen = _with_headings(page, chosen)
-    inside = [b for b in page.blocks if not b.aside and (not page.paths or not chosen or chosen.intersection(b.containers))]
-    return "\n".join(t for t in (b.text() for b in inside) if t)
+    inside = _inside(page, _with_headings(page, chosen))
+    everything = not page.paths or not chosen
+    wanted = (b for b in page.blocks if not b.aside and (everything or b.container >= 0 and inside[b.container]))
+    return "\n".join(t for t in (b.text for b in wanted) if t)
 
 
 def _decode(value: bytes | None) -> str:

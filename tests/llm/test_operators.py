@@ -473,3 +473,32 @@ def test_edits_of_hot_and_null_ids(spark):
     )
     # Both hot ids are cut, and each bucket begins at a bound of its own.
     assert min(sum(b[0] == key for b in bounds) for key in (-(1 << 63), 7)) >= 2 and len(bounds) == len(set(bounds))
+
+
+def test_broken_pages_take_time_by_their_length():
+    import time
+
+    quoted = " ".join(f'a{i}="x{i}"' for i in range(200))
+    pages = {
+        f"<p>Words before it.</p><div {quoted}": "Words before it.",
+        f"<p>Words before it.</p><div {quoted} b='": "Words before it.",
+        "a <b " * 20_000: "a",
+        "<p>x</p>" + "<a \"> <a '>" * 20_000 + "<p>y</p>": None,
+        "<div>word " * 100_000: None,
+        "<ul><li>w" * 20_000: "\n".join(["w"] * 20_000),
+        "<p><span>w</p>" * 20_000: "\n".join(["w"] * 20_000),
+        "<p>One</p><!-- a comment that > never ends <p>Two</p>": "One",
+        "<p>One</p><script>if (a > b) {": "One",
+        "<p>One <![CDATA[two > three": "One two > three",
+        "<p>One</p> tail <a href=": "One\ntail",
+    }
+    for page, want in pages.items():
+        start = time.process_time()
+        parsed = html.parse(page)
+        got = html.extract(parsed, None), html.extract(parsed, "/div")
+        assert time.process_time() - start < 5
+        if want is not None:
+            assert got == (want, want)
+    # All text of deeply nested blocks is there.
+    nested = html.extract(html.parse("<div>word " * 3000), "/div")
+    assert nested == "\n".join(["word"] * 3000)
