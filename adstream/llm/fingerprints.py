@@ -31,6 +31,7 @@ _BROADCAST_ROWS = 1_000_000
 _BUCKET_BYTES = 32 * 1024 * 1024
 _MAX_BUCKETS = 10_000
 _TERMS_AT_ONCE = 8192
+_TERMS_HELD = 2_000_000
 _FIRST_KEY = -(1 << 63)
 _EDIT_DDL = (
     "row_key long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -44,14 +45,30 @@ def _terms(text: bytes | None, hashes: WordHashes) -> np.ndarray:
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Document counts of terms, added up within the batch; a text counts 1/copies."""
+    """Document counts of terms, added up within the task as far as memory is meant for it; a text counts 1/copies."""
     hashes = WordHashes()
+    terms, counts, held = [], [], 0
+
+    def added() -> tuple[np.ndarray, np.ndarray]:
+        term, at = np.unique(np.concatenate(terms) if terms else np.empty(0, np.uint64), return_inverse=True)
+        return term, np.bincount(at, weights=np.concatenate(counts) if counts else None, minlength=len(term))
+
+    def out(term: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(term.view(np.int64)), pa.array(n, pa.float64())], names=["term", "n"])
+
     for batch in batches:
         sets = [_terms(t, hashes) for t in texts(batch.column(0))]
-        weights = np.repeat(1 / np.asarray(batch.column(1), np.float64), [len(s) for s in sets])
-        term, at = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_inverse=True)
-        n = np.bincount(at, weights=weights, minlength=len(term))
-        yield pa.record_batch([pa.array(term.view(np.int64)), pa.array(n, pa.float64())], names=["term", "n"])
+        terms += sets
+        counts.append(np.repeat(1 / np.asarray(batch.column(1), np.float64), [len(s) for s in sets]))
+        held += sum(map(len, sets))
+        if held > _TERMS_HELD:
+            term, n = added()
+            if len(term) > _TERMS_HELD // 2:
+                yield out(term, n)
+                terms, counts, held = [], [], 0
+            else:
+                terms, counts, held = [term], [n], len(term)
+    yield out(*added())
 
 
 def term_counts(docs: DataFrame, text_col: str, scratch: Scratch) -> tuple[DataFrame, int]:
