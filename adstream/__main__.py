@@ -16,7 +16,7 @@ from adstream.config import TablePaths
 from adstream.plans.reports import all_reports
 from adstream.session import build_session
 from adstream.sources.messages import TOPICS, kafka_options
-from adstream.streaming.runner import await_first_end, run_pipeline
+from adstream.streaming.runner import CLICK_SCOPES, await_first_end, run_pipeline
 
 
 def _arguments(args: list[str] | None) -> argparse.Namespace:
@@ -30,8 +30,8 @@ def _arguments(args: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--max-offsets", type=int, help="most messages per topic and trigger")
     parser.add_argument("--topics", help="folder of the topics, for sources that are files")
     parser.add_argument("--table-format", default="parquet")
-    parser.add_argument("--click-scope", default="window", choices=["window", "batch"])
-    parser.add_argument("--alert-mode", default="complete", choices=["complete", "append", "update"])
+    parser.add_argument("--click-scope", choices=list(CLICK_SCOPES), help="deferred where tables allow it")
+    parser.add_argument("--alert-mode", default="merge", choices=["merge", "complete", "append", "update"])
     parser.add_argument("--once", action="store_true", help="process what is there, then end")
     return parser.parse_args(args)
 

@@ -26,13 +26,11 @@ def flag_orphans(
     Both bounds are inclusive; with ``prior_only`` the click must not come later.
     A conversion without a click id or a time is an orphan. If a click id is
     repeated, a conversion is repeated for each click that matches it; with
-    ``per_click=False`` (tables only) it comes out once, and no pairs are formed.
+    ``per_click=False`` it comes out once, on tables without forming pairs.
     Two streams must both carry a watermark on ``timestamp``.
     """
     if conversions.isStreaming or clicks.isStreaming:
-        if not per_click:
-            raise ValueError("an outer join of streams gives one row per click; use dedupe_events")
-        joined = _join_streams(conversions, clicks, rules, prior_only)
+        joined = _join_streams(conversions, clicks, rules, prior_only, per_click)
     elif per_click:
         joined = _join_clicks(conversions, clicks, rules.tolerance, prior_only)
     else:
@@ -71,10 +69,13 @@ def _unmatchable() -> Column:
 
 
 def _join_streams(
-    conversions: DataFrame, clicks: DataFrame, rules: FraudRules, prior_only: bool
+    conversions: DataFrame, clicks: DataFrame, rules: FraudRules, prior_only: bool, per_click: bool
 ) -> DataFrame:
     """Outer join whose state the watermarks and the time range keep bounded.
 
+    Once per conversion, those with a click are a semi-join, which lets a conversion out, and out
+    of its state, at its first click; those without are what an outer join finds no click for.
+
     A much-used click id is spread over ``orphan_salts`` cells of the state; the
     narrow click rows are repeated for each cell. Rows without an id or a time would
     stay in the state for ever: such clicks are left out, and such conversions are
@@ -91,6 +92,9 @@ def _join_streams(
     same = (F.col("click_id") == F.col("_click")) & (F.col("_cell") == F.col("_click_cell"))
     near = _in_reach(F.col("_click_time"), F.col("timestamp"), rules.tolerance, prior_only)
     joined = left.join(right, same & near, "left").select(*conversions.columns, "_found")
+    if not per_click:
+        with_click = left.join(right, same & near, "left_semi").withColumn("_found", F.lit(True))
+        joined = joined.filter("_found IS NULL").unionByName(with_click.select(*conversions.columns, "_found"))
     alone = conversions.filter(_unmatchable()).withColumn("_found", F.lit(False))
     return joined.unionByName(alone)
 

@@ -35,7 +35,14 @@ from adstream.sources import adevents, tables
 from adstream.streaming import replay as r
 from adstream.streaming.deferred import DeferredPaths, start_deferred_flags
 from adstream.streaming.runner import await_all, run_pipeline
-from adstream.streaming.sinks import start_alerts, start_append, start_click_flags, start_dated, start_messages
+from adstream.streaming.sinks import (
+    start_alerts,
+    start_append,
+    start_click_flags,
+    start_dated,
+    start_merged_alerts,
+    start_messages,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,6 +192,41 @@ def stream_flag_clicks_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame
     return _appended(spark, r.replay(spark, start, "batches"), SILVER_CLICK)
 
 
+def stream_flag_orphans_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every click comes twice, and every conversion out once."""
+
+    def start(closing: str, table: str, checkpoint: str):
+        clicks = r.topic_stream(spark, sf_dir, "clicks", closing)
+        conversions = r.topic_stream(spark, sf_dir, "conversions", closing)
+        flagged = flag_orphans(conversions, clicks.unionByName(clicks), PUBLISHED, per_click=False)
+        return start_append(flagged, table, checkpoint, trigger=r.TO_THE_END)
+
+    return _appended(spark, r.replay(spark, start, "orphans-once"), SILVER_CONVERSION)
+
+
+def stream_alerts_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of clicks of which some come after all windows have closed; none is left out."""
+    events = adevents.events_table(spark, sf_dir)
+
+    def run(feed: DataFrame, root: str) -> None:
+        clicks = _row_local(adevents.with_instants(adevents.clicks(feed)))
+        query = start_merged_alerts(
+            r.without_closing(clicks), f"{root}/gold", f"{root}/checkpoint", PUBLISHED.alert_window, trigger=r.TO_THE_END
+        )
+        query.awaitTermination()
+
+    root = r.replay_in_phases(spark, "merged", [events.filter(f"NOT ({LATE})"), None, events.filter(LATE)], run)
+    return _gold(spark, f"{root}/gold", "merge")
+
+
+def _row_local(clicks: DataFrame) -> DataFrame:
+    """Clicks flagged by the row-local rule alone."""
+    instant = instant_click(F.col("time_since_impression_ms"), PUBLISHED.instant_ms)
+    return clicks.withColumns(
+        {"is_click_flood": F.lit(False), "is_bot_ip": F.lit(False), "is_instant_click": instant, "is_fraud": instant}
+    )
+
+
 def _stream_orphans(prior_only: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         def start(closing: str, table: str, checkpoint: str):
@@ -204,16 +246,7 @@ def _stream_alerts(mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         def start(closing: str, table: str, checkpoint: str):
             clicks = r.topic_stream(spark, sf_dir, "clicks", closing)
-            instant = instant_click(F.col("time_since_impression_ms"), PUBLISHED.instant_ms)
-            flagged = clicks.withColumns(
-                {
-                    "is_click_flood": F.lit(False),
-                    "is_bot_ip": F.lit(False),
-                    "is_instant_click": instant,
-                    "is_fraud": instant,
-                }
-            )
-            alerts = fraud_alerts(flagged, PUBLISHED.alert_window)
+            alerts = fraud_alerts(_row_local(clicks), PUBLISHED.alert_window)
             return start_alerts(alerts, table, checkpoint, mode, trigger=r.TO_THE_END)
 
         return _gold(spark, r.replay(spark, start, f"alerts-{mode}"), mode)
@@ -236,10 +269,8 @@ def medallion_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     await_all(producers)
     paths = TablePaths(f"{root}/tables")
     with r.state_partitions(spark):
-        run_pipeline(
-            spark, "parquet", options, paths, TEN_MINUTES, alert_mode="complete", trigger=r.TO_THE_END
-        )
-    return _gold(spark, paths.gold(), "complete")
+        run_pipeline(spark, "parquet", options, paths, TEN_MINUTES, trigger=r.TO_THE_END)
+    return _gold(spark, paths.gold(), "merge")
 
 
 def _appended(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -283,6 +314,8 @@ QUERIES: dict[str, Query] = {
     "stream_flag_clicks_microbatch": stream_flag_clicks_microbatch,
     "stream_flag_orphans": _stream_orphans(prior_only=False),
     "stream_orphans_prior_only": _stream_orphans(prior_only=True),
+    "stream_flag_orphans_once": stream_flag_orphans_once,
+    "stream_alerts_merged": stream_alerts_merged,
     "stream_alerts_append": _stream_alerts("append"),
     "stream_alerts_complete": _stream_alerts("complete"),
     "stream_alerts_update": _stream_alerts("update"),

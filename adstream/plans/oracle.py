@@ -159,6 +159,8 @@ ORACLE_SQL: dict[str, str] = {
     "stream_flag_clicks_microbatch": _WHOLE + " SELECT * FROM flagged",
     "stream_flag_orphans": _BOTH_WAYS + " SELECT * FROM checked",
     "stream_orphans_prior_only": _PRIOR + " SELECT * FROM checked",
+    "stream_flag_orphans_once": _BOTH_WAYS + " SELECT DISTINCT * FROM checked",
+    "stream_alerts_merged": _ONE_MINUTE_ROW_LOCAL,
     "stream_alerts_append": _ONE_MINUTE_ROW_LOCAL,
     "stream_alerts_complete": _ONE_MINUTE_ROW_LOCAL,
     "stream_alerts_update": _ONE_MINUTE_ROW_LOCAL,

@@ -49,7 +49,7 @@ def orphan_report(flagged_conversions: DataFrame, n: int = 10) -> DataFrame:
 
 
 def all_reports(
-    spark: SparkSession, paths: TablePaths, alert_mode: str = "complete", table_format: str = "parquet"
+    spark: SparkSession, paths: TablePaths, alert_mode: str = "merge", table_format: str = "parquet"
 ) -> dict[str, DataFrame]:
     """Every report over the tables that the application wrote, by title."""
     bronze = tables.read_table(spark, paths.bronze("clicks"), CLICK, table_format)

@@ -88,7 +88,7 @@ def check_owner(spark: SparkSession, path: str, checkpoint: str) -> None:
     if storage.exists(spark, f"{checkpoint}/offsets"):
         return
     numbered = [storage.numbered_directories(spark, path, name) for name in ("batch_id", "version")]
-    if any(numbered) or storage.exists(spark, f"{path}/_spark_metadata"):
+    if any(numbered) or any(storage.exists(spark, f"{path}/{log}") for log in ("_spark_metadata", "manifest", "_log")):
         raise ValueError(f"{path} was written under another checkpoint than {checkpoint}")
 
 
@@ -129,6 +129,8 @@ def read_alerts(
     """The current alerts of a gold table that was written in the given output mode."""
     if mode == "complete" and table_format == "parquet":
         return read_latest(spark, path, GOLD_ALERT)
-    if mode == "update":
-        return read_upserts(spark, path, GOLD_ALERT, ["campaign_id", "window_start", "window_end"])
+    if mode in ("update", "merge"):
+        from adstream.sources import alerts
+
+        return (alerts.read_newest_alerts if mode == "update" else alerts.read_summed_alerts)(spark, path)
     return read_table(spark, path, GOLD_ALERT, table_format)

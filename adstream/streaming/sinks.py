@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from adstream.config import FraudRules
+from adstream.operators.alerts import fraud_alerts
 from adstream.operators.clicks import flag_clicks
 from adstream.operators.parse import encode_events
-from adstream.sources import dated, storage, tables
+from adstream.sources import dated, mergelog, storage, tables
+from adstream.sources.alerts import NEWEST_ALERT, SUMMED_ALERT
 
 Trigger = dict[str, object]
 
@@ -125,8 +127,8 @@ def start_alerts(
 
     ``complete`` replaces the table at each trigger and keeps every window in the
     state for ever. ``append`` writes a window once, when it closes, and ``update``
-    writes the windows that changed; both let the state expire. Read the result with
-    ``tables.read_alerts`` and the same mode.
+    merges the windows that changed into a table of runs; both let the state expire. Read the
+    result with ``tables.read_alerts`` and the same mode. ``start_merged_alerts`` needs no state.
     """
     spark = alerts.sparkSession
     if mode == "update" and table_format != "parquet":
@@ -141,19 +143,41 @@ def start_alerts(
     if mode == "complete":
         write = partial(_replace, path)
     elif mode == "update":
-        write = partial(_append, path)
+        write = partial(_merge, path, NEWEST_ALERT)
     else:
         raise ValueError(f"unknown output mode {mode}")
     return start_batches(alerts, write, checkpoint, name, trigger, mode)
 
 
+def start_merged_alerts(
+    flagged_clicks: DataFrame,
+    path: str,
+    checkpoint: str,
+    window: str = "1 minute",
+    name: str | None = None,
+    trigger: Trigger = ALERT_TRIGGER,
+) -> StreamingQuery:
+    """Alerts whose counts are added up in the table, as mode ``merge`` of ``tables.read_alerts``.
+
+    Each micro-batch of flagged clicks is counted by itself and its counts are added to those that
+    are there, whenever its clicks are from. So open windows are seen at once, as in ``complete``,
+    late clicks count, the stream has no state, and a trigger writes what it changed.
+    """
+    tables.check_owner(flagged_clicks.sparkSession, path, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _merge(path, SUMMED_ALERT, fraud_alerts(batch, window), batch_id)
+
+    return start_batches(flagged_clicks, write, checkpoint, name, trigger)
+
+
 def _replace(path: str, rows: DataFrame, batch_id: int) -> None:
     if not tables.replace_table(rows, path, batch_id):
         _run_through(rows)
 
 
-def _append(path: str, rows: DataFrame, batch_id: int) -> None:
-    if not tables.append_batch(rows, path, batch_id):
+def _merge(path: str, merge: mergelog.Merge, rows: DataFrame, batch_id: int) -> None:
+    if not mergelog.apply_changes(rows, path, batch_id, merge):
         _run_through(rows)
 
 

@@ -48,6 +48,7 @@ def _before_the_end(frame, time="timestamp"):
         {"click_scope": "window", "alert_mode": "complete", "from_bronze": True},
         {"click_scope": "window", "alert_mode": "append", "from_bronze": False},
         {"click_scope": "batch", "alert_mode": "update", "from_bronze": True, "dedupe": True},
+        {"click_scope": "deferred", "alert_mode": "merge", "from_bronze": True},
     ],
 )
 def test_all_layers(spark, tmp_path, topics, settings):
@@ -84,12 +85,12 @@ def test_all_layers(spark, tmp_path, topics, settings):
 
 def test_a_second_run_adds_only_what_is_new(spark, tmp_path, topics):
     paths = TablePaths(str(tmp_path / "lake"))
-    _run(spark, topics, paths.root, click_scope="batch")
+    _run(spark, topics, paths.root, click_scope="batch", alert_mode="complete")
     before = tables.read_table(spark, paths.silver("clicks"), SILVER_CLICK).count()
-    _run(spark, topics, paths.root, click_scope="batch")
+    _run(spark, topics, paths.root, click_scope="batch", alert_mode="complete")
     assert tables.read_table(spark, paths.silver("clicks"), SILVER_CLICK).count() == before == 6
     topics["clicks"].add(encode_events(click_frame(spark, [{"event_id": "new", "timestamp": END}])))
-    _run(spark, topics, paths.root, click_scope="batch")
+    _run(spark, topics, paths.root, click_scope="batch", alert_mode="complete")
     assert tables.read_table(spark, paths.silver("clicks"), SILVER_CLICK).count() == 7
     alerts = tables.read_latest(spark, paths.gold(), GOLD_ALERT)
     assert alerts.agg(F.sum("total_clicks")).first()[0] == 7
@@ -103,7 +104,12 @@ def test_raw_text_in_bronze(spark, tmp_path, topics):
 
 def test_continuous_queries_run_together(spark, tmp_path, topics):
     queries = _run(
-        spark, topics, tmp_path / "lake", click_scope="batch", trigger={"processingTime": "1 second"}
+        spark,
+        topics,
+        tmp_path / "lake",
+        click_scope="batch",
+        alert_mode="complete",
+        trigger={"processingTime": "1 second"},
     )
     try:
         assert len(queries) == 6 and all(q.isActive for q in queries.values())
@@ -117,6 +123,31 @@ def test_continuous_queries_run_together(spark, tmp_path, topics):
     await_first_end(spark)
 
 
+def test_no_click_is_lost_by_default(spark, tmp_path, topics):
+    """Late clicks reach silver and gold, though their windows have closed; copies are removed on request."""
+    paths = TablePaths(str(tmp_path / "lake"))
+    _run(spark, topics, paths.root, dedupe=True)
+    late = [{"event_id": f"late{i}", "timestamp": at("10:02")} for i in range(2)]
+    topics["clicks"].add(encode_events(click_frame(spark, late)))
+    paths_too = TablePaths(str(tmp_path / "too"))
+    for queries in (_run(spark, topics, paths.root, dedupe=True), _run(spark, topics, paths_too.root)):
+        assert all(q.exception() is None for q in queries.values())
+    # Removing copies needs a bounded memory of ids, so it drops what comes too late.
+    assert _before_the_end(tables.read_table(spark, paths.silver("clicks"), SILVER_CLICK)).count() == 4
+    _run(spark, topics, paths_too.root)
+    topics["clicks"].add(encode_events(click_frame(spark, [{"event_id": "late9", "timestamp": at("10:01")}])))
+    _run(spark, topics, paths_too.root)
+    silver = _before_the_end(tables.read_table(spark, paths_too.silver("clicks"), SILVER_CLICK))
+    assert silver.count() == 7 and silver.filter("event_id = 'late9' AND is_click_flood").count() == 1
+    alerts = _before_the_end(tables.read_alerts(spark, paths_too.gold(), "merge"), "window_start")
+    assert alerts.agg(F.sum("total_clicks")).first()[0] == 7
+
+
+def test_deferred_flags_need_a_bronze_table(spark, tmp_path, topics):
+    with pytest.raises(ValueError, match="bronze"):
+        _run(spark, topics, tmp_path, click_scope="deferred", from_bronze=False)
+
+
 def test_unknown_scope_is_refused(spark, tmp_path, topics):
     with pytest.raises(ValueError, match="scope"):
         _run(spark, topics, tmp_path, click_scope="other")

@@ -12,7 +12,7 @@ from adstream import (
 )
 from adstream.functions.rules import instant_click
 from adstream.schemas import SILVER_CLICK, SILVER_CONVERSION
-from adstream.sources import tables
+from adstream.sources import mergelog, tables
 from adstream.streaming.sinks import start_alerts
 from conftest import F, NOON, at, click_frame, conversion_frame, flags, rows_of, run_to_end
 
@@ -167,13 +167,6 @@ def test_an_unmatched_head_waits_and_a_late_conversion_is_dropped(spark, tmp_pat
     assert [r for r in found() if r[0] in ("head", "late")] == [("head", True)]
 
 
-def test_one_row_per_conversion_is_for_tables(spark, feed):
-    clicks = feed("clicks").add(click_frame(spark, [{}])).stream()
-    conversions = feed("conversions").add(conversion_frame(spark, [{}])).stream()
-    with pytest.raises(ValueError, match="per click"):
-        flag_orphans(conversions, clicks, per_click=False)
-
-
 def test_dedupe_of_a_stream(spark, tmp_path, feed):
     source = feed()
     source.add(click_frame(spark, [{"event_id": "a"}, {"event_id": None}]))
@@ -193,17 +186,54 @@ def test_a_batch_that_was_written_but_not_committed_is_replayed(spark, tmp_path,
     run = lambda: start_alerts(
         fraud_alerts(unflagged(source.stream())), path, checkpoint, mode, trigger=NOW
     ).awaitTermination()
-    name = {"update": "append_batch", "complete": "replace_table"}[mode]
-    write = getattr(tables, name)
+    place, name = {"update": (mergelog, "apply_changes"), "complete": (tables, "replace_table")}[mode]
+    write = getattr(place, name)
 
     def crash(*arguments):
         write(*arguments)
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patched:
-        patched.setattr(tables, name, crash)
+        patched.setattr(place, name, crash)
         with pytest.raises(StreamingQueryException):
             run()
     run()
     found = tables.read_alerts(spark, path, mode)
     assert found.agg(F.sum("total_clicks")).first()[0] == (8 if mode == "complete" else 7)
+
+
+@pytest.mark.parametrize("prior_only", [False, True])
+def test_orphans_once_per_conversion_on_streams(spark, tmp_path, feed, prior_only):
+    """Repeated clicks, several conversions of a click, and rows without an id or a time, over several batches."""
+    clicks = [
+        {"event_id": "a", "timestamp": at("10:00")},
+        {"event_id": "a", "timestamp": at("10:00")},
+        {"event_id": "a", "timestamp": at("10:05")},
+        {"event_id": "b", "timestamp": at("10:20")},
+        {"event_id": "c", "timestamp": at("09:00")},
+        {"event_id": None, "timestamp": at("10:00")},
+    ]
+    conversions = [
+        {"event_id": "v1", "click_id": "a", "timestamp": at("10:10")},
+        {"event_id": "v1", "click_id": "a", "timestamp": at("10:10")},
+        {"event_id": "v2", "click_id": "a", "timestamp": at("10:34")},
+        {"event_id": "v3", "click_id": "b", "timestamp": at("10:01")},
+        {"event_id": "v4", "click_id": "c", "timestamp": at("10:00")},
+        {"event_id": "v5", "click_id": None, "timestamp": at("10:00")},
+        {"event_id": "v6", "click_id": "a", "timestamp": None},
+        {"event_id": "v7", "click_id": "none", "timestamp": at("10:00")},
+    ]
+    left, right = feed("conversions"), feed("clicks")
+    for part in (conversions[:3], conversions[3:]):
+        left.add(conversion_frame(spark, part))
+    for part in (clicks[:1], clicks[1:4], clicks[4:]):
+        right.add(click_frame(spark, part))
+    close(left, conversion_frame, spark)
+    close(right, click_frame, spark)
+    rules = FraudRules()
+    flagged = flag_orphans(left.stream(), right.stream(), rules, prior_only, per_click=False)
+    run_to_end(flagged, tmp_path / "silver")
+    got = spark.read.parquet(str(tmp_path / "silver")).filter("event_id <> 'end'")
+    table = [conversion_frame(spark, conversions), click_frame(spark, clicks)]
+    want = flag_orphans(*table, rules, prior_only, per_click=False)
+    assert rows_of(got.select(SILVER_CONVERSION.fieldNames())) == rows_of(want) and got.count() == 8
