@@ -7,7 +7,8 @@ An empty table passes through; NULL texts and texts without words go with the fi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adstream.llm.mixing import mix_sources
@@ -27,6 +28,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return assess_quality(_packed(docs, "text"), columns=["row"]).filter("kept").select("row.*")
 
 
+def _numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``row`` and a ``number`` per row that stays the same however often the table is read.
+
+    A row of a file has a place in it, and files are numbered in a written list. Other
+    tables are written with their numbers.
+    """
+    place = ["_metadata.file_path", "_metadata.row_index"]
+    try:
+        rows = docs.select(F.struct(*docs.columns).alias("row"), *place)
+    except AnalysisException:
+        rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number"))
+        return scratch.save(rows, "numbered")
+    files = docs.select(place[0]).distinct().withColumn("file", F.monotonically_increasing_id())
+    files = scratch.save(files.withColumnRenamed("file_path", "path"), "files")
+    # Numbers of files are numbers of a partition and of a row in it; counted through, they leave room for rows.
+    counted = files.select("path", F.row_number().over(Window.orderBy("file")).cast("long").alias("file"))
+    number = F.shiftleft("file", 40) + F.col("row_index")
+    return rows.join(counted, F.col("file_path") == F.col("path")).select("row", number.alias("number"))
+
+
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one row stays: the one with the smallest id, NULL last.
 
@@ -34,12 +55,11 @@ def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     others: no text goes but for a near one that stays, and of repeated rows one stays.
     """
     scratch = Scratch(spark, "near-duplicate-removal")
-    numbered = _packed(docs, "text").withColumn("number", F.monotonically_increasing_id())
-    numbered = scratch.save(numbered, "numbered")
-    groups = near_duplicates(numbered, id_col="number").select(
+    numbered = _numbered(docs, scratch)
+    groups = near_duplicates(numbered.select("number", "row.text"), id_col="number").select(
         F.col("number").alias("member"), F.col("component_id").alias("component")
     )
-    order = F.struct(F.col("row.doc_id").isNull(), "row.doc_id", F.xxhash64("text"), "number")
+    order = F.struct(F.col("row.doc_id").isNull(), "row.doc_id", F.xxhash64("row.text"), "number")
     ids = numbered.select("number", order.alias("order"))
     members = groups.join(ids, F.col("member") == F.col("number"))
     first = members.groupBy("component").agg(F.min("order").alias("first")).select(F.col("first.number").alias("keep"))
