@@ -7,12 +7,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adstream.llm.scratch import Scratch
-from adstream.llm.shingles import WordHashes, texts
+from adstream.llm.shingles import term_sets, texts
 
 # One randomised lexicon each: the share of the lexicon that it keeps is 1/2 to this power.
 # Thin lexicons compare long texts, thick ones short texts.
@@ -39,14 +38,8 @@ _EDIT_DDL = (
 )
 
 
-def _terms(text: bytes | None, hashes: WordHashes) -> np.ndarray:
-    words = set(text.lower().split()) if text else ()
-    return np.sort(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
-
-
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Document counts of terms, added up within the task as far as memory is meant for it; a text counts 1/copies."""
-    hashes = WordHashes()
     terms, counts, held = [], [], 0
 
     def added() -> tuple[np.ndarray, np.ndarray]:
@@ -57,7 +50,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.record_batch([pa.array(term.view(np.int64)), pa.array(n, pa.float64())], names=["term", "n"])
 
     for batch in batches:
-        sets = [_terms(t, hashes) for t in texts(batch.column(0))]
+        sets = list(term_sets(texts(batch.column(0))))
         terms += sets
         counts.append(np.repeat(1 / np.asarray(batch.column(1), np.float64), [len(s) for s in sets]))
         held += sum(map(len, sets))
@@ -204,11 +197,10 @@ def _prints(term_sets: list[np.ndarray], lexicon: list) -> tuple[np.ndarray, np.
 
 def _fingerprints(lexicon: list, n_texts: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             prints = []
             for i in range(n_texts):
-                found, there = _prints([_terms(t, hashes) for t in texts(batch.column(i))], lexicon)
+                found, there = _prints(list(term_sets(texts(batch.column(i)))), lexicon)
                 prints.append(pa.array([_written(h, t) for h, t in zip(found, there)], pa.string()))
             names = [f"print_{i}" for i in range(n_texts)] + batch.schema.names[n_texts:]
             yield pa.record_batch([*prints, *batch.columns[n_texts:]], names=names)
@@ -254,7 +246,6 @@ def _edits(lexicon: list) -> Callable:
     """Rows come bucket by bucket in order; each meets the next one of its bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         carried: list[tuple] = []
         for whole in batches:
             for at in range(0, whole.num_rows, _ROWS_AT_ONCE):
@@ -270,7 +261,7 @@ def _edits(lexicon: list) -> Callable:
                 carried = rows[-1:]
                 pairs = [i for i in range(len(rows) - 1) if not rows[i][1] and rows[i][0] == rows[i + 1][0]]
                 if pairs:
-                    yield _edit_rows(rows, pairs, hashes, lexicon)
+                    yield _edit_rows(rows, pairs, lexicon)
 
     return run
 
@@ -278,14 +269,14 @@ def _edits(lexicon: list) -> Callable:
 _ROWS_AT_ONCE = 1000
 
 
-def _edit_rows(rows: list[tuple], pairs: list[int], hashes: WordHashes, lexicon: list) -> pa.RecordBatch:
+def _edit_rows(rows: list[tuple], pairs: list[int], lexicon: list) -> pa.RecordBatch:
     edited = []
     for i in pairs:
         text, following = rows[i][3], rows[i + 1][3]
         half = len(text) // 2
         edited.append((text[: len(text) - half] + following[:half]).encode())
-    own = [_terms(text.encode(), hashes) for *_, text in rows]
-    hashed, there = _prints(own + [_terms(t, hashes) for t in edited], lexicon)
+    own = [text.encode() for *_, text in rows]
+    hashed, there = _prints(list(term_sets(own + edited)), lexicon)
     mine, after = np.array(pairs), np.array(pairs) + 1
     new = np.arange(len(rows), len(rows) + len(pairs))
     of = lambda at: (hashed[at], there[at])

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from adstream.llm.components import connected_components
 from adstream.llm.rtree import CountVectorTree, cluster, count_vector
 from adstream.llm.scratch import Scratch
-from adstream.llm.shingles import WordHashes, shingle_sets, texts
+from adstream.llm.shingles import shingle_sets, texts
 
 GROUPS = 512
 _FINE_GROUPS = 4096
@@ -70,12 +70,12 @@ def _measure(width: int, groups: int) -> Callable:
     """Per row its set's node, size and count vector; at a task's end its part of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), np.zeros(1 << _SKETCH_BITS, np.int64)
+        counts = np.zeros(1 << _SKETCH_BITS, np.int64)
         names = ["row_key", "n_shingles", "node", "point", "chunk", "counts"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
         for batch in batches:
             sizes, nodes, points = [], [], []
-            for s in shingle_sets(texts(batch.column(1)), width, hashes):
+            for s in shingle_sets(texts(batch.column(1)), width):
                 sizes.append(len(s))
                 nodes.append(_node(s) if len(s) else None)
                 points.append(_packed(count_vector(s, groups)) if len(s) else None)
@@ -96,6 +96,11 @@ def _add_parts(parts: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": [parts["chunk"].iloc[0]], "counts": [_packed(total)]})
 
 
+def _rarest(shingles: np.ndarray, counts: np.ndarray, first: int) -> np.ndarray:
+    """The ``first`` rarest of a sorted set of shingles, ties to smaller ones."""
+    return shingles[np.argsort(counts[_sketch_cells(shingles)], kind="stable")[:first]]
+
+
 def _prefixes(width: int, percent: int, blocks: int, sketch) -> Callable:
     """Each set's first shingles, rarest first, packed by block of the hash space.
 
@@ -105,16 +110,16 @@ def _prefixes(width: int, percent: int, blocks: int, sketch) -> Callable:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts, seen = WordHashes(), sketch.value, set()
+        counts, seen = sketch.value, set()
         for batch in batches:
             kept, owners = [], []
-            for s in shingle_sets(texts(batch.column(0)), width, hashes):
+            for s in shingle_sets(texts(batch.column(0)), width):
                 n = len(s)
                 if not n or (node := _node(s)) in seen:
                     continue
                 seen.add(node)
                 first = n + (-percent * n // 100) + 1
-                kept.append(s[np.lexsort((s, counts[_sketch_cells(s)]))[:first]])
+                kept.append(_rarest(s, counts, first))
                 owners.append(np.full(len(kept[-1]), node, np.int64))
             if len(seen) > 1_000_000:
                 seen.clear()
@@ -195,9 +200,8 @@ def _sets(width: int) -> Callable:
     """Each set's node and shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            sets = [s for s in shingle_sets(texts(batch.column(0)), width, hashes) if len(s)]
+            sets = [s for s in shingle_sets(texts(batch.column(0)), width) if len(s)]
             data = [s.tobytes() for s in sets]
             columns = [pa.array([_node(s) for s in sets], pa.int64()), pa.array(data, pa.binary())]
             yield pa.record_batch(columns, names=["node", "shingles"])

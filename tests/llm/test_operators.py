@@ -439,7 +439,7 @@ def _prints_with(texts, frequencies, size):
     """Per text and randomised lexicon the set of its hashed terms."""
     import math
 
-    import xxhash
+    from adstream.llm.shingles import _word_hashes
 
     out = []
     for text in texts:
@@ -450,7 +450,7 @@ def _prints_with(texts, frequencies, size):
             in_lexicon = df and df >= size * math.exp(-fingerprints.HIGH)
             away[w] = max(0, math.ceil(fingerprints.LOW - math.log(size / df))) if in_lexicon else 127
         widest = sorted(away.values())[7] if len(away) >= 8 else 127
-        hashed = {xxhash.xxh64_intdigest(w) for w in terms if away[w] <= widest}
+        hashed = {int(_word_hashes(w)[0][0]) for w in terms if away[w] <= widest}
         parts = []
         for k, power in enumerate(fingerprints.LEXICONS):
             salt = 0x9E3779B97F4A7C15 * (k + 1) % 2**64
@@ -502,3 +502,35 @@ def test_broken_pages_take_time_by_their_length():
     # All text of deeply nested blocks is there.
     nested = html.extract(html.parse("<div>word " * 3000), "/div")
     assert nested == "\n".join(["word"] * 3000)
+
+
+def test_shingle_hashes_follow_words(monkeypatch):
+    """Equal words have equal hashes wherever they are, and different ones different hashes."""
+    import random
+
+    from adstream.llm import shingles as module
+
+    draw = random.Random(4)
+    vocabulary = ["".join(draw.choice("abAB\xe9\u4e2d1.") for _ in range(draw.randint(1, 9))) for _ in range(300)]
+    vocabulary += ["x" * 700, "x" * 701, "\x1c", "\x85", "\xa0"]
+    texts = [
+        "".join(draw.choice(vocabulary) + draw.choice([" ", "\n", "\t\x0b", "  "]) for _ in range(draw.randint(0, 60)))
+        for _ in range(200)
+    ] + ["", None, " ", "one", "one two three four", "one two three four five", "y" * 5000 + " z"]
+    data = [t if t is None else t.encode() for t in texts]
+    monkeypatch.setattr(module, "_PIECE", 900)
+    got = list(module.shingle_sets(data, 5))
+    terms = list(module.term_sets(data))
+    seen, back = {}, {}
+    for text, hashed, term in zip(texts, got, terms):
+        plain = shingles(text)
+        assert len(plain) == len(hashed) and len({w.lower() if w.isascii() else w for w in words(text)}) >= len(term)
+        assert (np.diff(hashed.astype(object)) > 0).all()
+        key = frozenset(plain)
+        assert seen.setdefault(key, hashed.tobytes()) == hashed.tobytes()
+        assert back.setdefault(hashed.tobytes(), key) == key
+    whole = [next(module.shingle_sets([d], 5)) for d in data]
+    assert all((a == b).all() for a, b in zip(got, whole))
+    # Shared shingles have shared hashes: intersections have the same sizes.
+    for a in range(0, 60):
+        assert len(np.intersect1d(got[a], got[a + 1])) == len(shingles(texts[a]) & shingles(texts[a + 1]))
