@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adstream.llm.scratch import Scratch
+from adstream.llm.arrays import let, scan
 from adstream.llm.text import whole, words
 
 # The base patterns, in order of kind, and the characters each needs.
@@ -30,7 +30,6 @@ _STATES = len(ALPHABET) + 1
 _SPAN_FIELDS = ("start", "rank", "end", "kind")
 # Inside, a span also has its places in bytes, at which texts can be cut without counting characters.
 _SPAN = "struct<start: int, rank: int, end: int, kind: string, from: int, to: int, token: string>"
-_SCAN_BLOCK = 256
 _MOST_HALVINGS = 26
 
 SAMPLE_DOCUMENTS = 500
@@ -44,39 +43,6 @@ def _no_spans() -> Column:
     return F.from_json(F.lit("[]"), f"array<{_SPAN}>")
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is made once, however often a lambda inside refers to it."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
-def _scan(items: Column, start: Column, step, emit, kind: str) -> Column:
-    """What ``emit`` makes of each item and of the state before it, which ``step`` moves on.
-
-    Arrays grow within blocks only, as each addition copies them, so the work grows with
-    the number of items and not with its square.
-    """
-    none, no_blocks = (F.from_json(F.lit("[]"), t) for t in (f"array<{kind}>", f"array<array<{kind}>>"))
-
-    def one(state: Column, item: Column) -> Column:
-        return F.struct(
-            step(state["at"], item).alias("at"), F.concat(state["out"], F.array(emit(state["at"], item))).alias("out")
-        )
-
-    def block(state: Column, some: Column) -> Column:
-        done = F.aggregate(some, F.struct(state["at"].alias("at"), none.alias("out")), one)
-        return _let(
-            done, lambda d: F.struct(d["at"].alias("at"), F.concat(state["out"], F.array(d["out"])).alias("out"))
-        )
-
-    def blocks(every: Column) -> Column:
-        numbers = F.sequence(F.lit(0), F.floor((F.size(every) - 1) / _SCAN_BLOCK).cast("int"))
-        cut = F.transform(numbers, lambda b: F.slice(every, b * _SCAN_BLOCK + 1, F.lit(_SCAN_BLOCK)))
-        return F.when(F.size(every) > 0, cut).otherwise(F.slice(F.array(every), 1, 0))
-
-    first = F.struct(start.alias("at"), no_blocks.alias("out"))
-    return F.flatten(F.aggregate(_let(items, blocks), first, block)["out"])
-
-
 def find_spans(text: Column, pattern: str, group: int, least: int, kind: str, rank: int) -> Column:
     """Spans of a pattern's leftmost non-overlapping matches whose ``group`` has ``least`` characters.
 
@@ -111,9 +77,9 @@ def find_spans(text: Column, pattern: str, group: int, least: int, kind: str, ra
             )
 
         zero = F.struct(F.lit(0).alias("chars"), F.lit(0).alias("bytes"))
-        return F.filter(_scan(zipped, zero, step, emit, _SPAN), lambda s: s["token"].isNotNull())
+        return F.filter(scan(zipped, zero, step, emit, _SPAN), lambda s: s["token"].isNotNull())
 
-    return _let(F.struct(*(value.alias(name) for name, value in found.items())), placed)
+    return let(F.struct(*(value.alias(name) for name, value in found.items())), placed)
 
 
 def _how_many_below(ordered: Column, value: Column, inclusive: bool) -> Column:
@@ -139,7 +105,7 @@ def _apart(candidates: Column, spans: Column) -> Column:
             lambda c: _how_many_below(at["starts"], c["end"], False) == _how_many_below(at["ends"], c["start"], True),
         )
 
-    return F.when((F.size(candidates) > 0) & (F.size(spans) > 0), _let(places, free)).otherwise(candidates)
+    return F.when((F.size(candidates) > 0) & (F.size(spans) > 0), let(places, free)).otherwise(candidates)
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -197,7 +163,7 @@ def labelled_strings(docs: DataFrame, text_col: str, sample_documents: int, rand
         )
         return F.flatten(F.array(w, pair, F.transform(w, F.upper)))
 
-    ordinary = sample.select(F.explode(_let(plain, joined)).alias("token"))
+    ordinary = sample.select(F.explode(let(plain, joined)).alias("token"))
     digest = F.sha2(F.concat(F.lit("sample-"), F.col("id").cast("string")), 512)
     raw = F.unhex(digest)
     token = (
@@ -259,7 +225,7 @@ def likelihood_ratio(token: Column, table: list[float]) -> Column:
         following = F.slice(states, 2, F.greatest(F.size(states) - 1, F.lit(0)))
         return F.zip_with(states, following, lambda a, b: F.get(weights, a * _STATES + b))
 
-    total = F.aggregate(_let(_states(token), terms), F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
+    total = F.aggregate(let(_states(token), terms), F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
     return total / F.greatest(F.length(token) - 1, F.lit(1))
 
 
@@ -333,7 +299,7 @@ def mask_secrets(
         def cut(start: Column, end: Column) -> Column:
             return F.substring(raw, start + 1, F.greatest(end - start, F.lit(0))).cast("string")
 
-        pieces = _scan(
+        pieces = scan(
             spans,
             F.lit(0),
             lambda at, s: F.greatest(at, s["to"]),
@@ -344,5 +310,5 @@ def mask_secrets(
         return F.concat(F.array_join(pieces, ""), cut(last, F.octet_length(raw)))
 
     given = F.struct(F.col("body").cast("binary").alias("raw"), F.col("spans").alias("spans"))
-    text = F.when(F.size("spans") > 0, _let(given, masked)).otherwise(F.col("row")[text_col])
+    text = F.when(F.size("spans") > 0, let(given, masked)).otherwise(F.col("row")[text_col])
     return done.select(*((text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns))
