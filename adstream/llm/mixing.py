@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adstream.llm.arrays import scan
 from adstream.llm.scratch import Scratch
 from adstream.llm.text import word_count
 
@@ -113,19 +114,23 @@ def _copies_per_cell(cells: DataFrame, tilts: DataFrame, cap: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("size", "n", "rate")), asc=False).alias("cells")
     )
 
-    def add(state: Column, cell: Column) -> Column:
-        due = state["carry"] + cell["n"] * cell["rate"] * cell["size"]
-        copies = F.least(cell["n"] * cap, F.floor(due / cell["size"] + 1e-9).cast("long"))
-        copies = F.greatest(copies, F.lit(0).cast("long"))
-        done = F.struct(cell["size"].alias("size"), cell["n"].alias("n"), copies.alias("copies"))
-        return F.struct(
-            (due - copies * cell["size"]).alias("carry"), F.concat(state["done"], F.array(done)).alias("done")
-        )
-
-    empty = F.from_json(F.lit("[]"), "array<struct<size: bigint, n: bigint, copies: bigint>>")
-    start = F.struct(F.lit(0.0).alias("carry"), empty.alias("done"))
-    filled = listed.select("source", F.aggregate("cells", start, add)["done"].alias("done"))
-    return filled.select("source", F.inline("done"))
+    def due(carry: Column, cell: Column) -> Column:
+        return carry + cell["n"] * cell["rate"] * cell["size"]
+
+    def copies(carry: Column, cell: Column) -> Column:
+        whole = F.least(cell["n"] * cap, F.floor(due(carry, cell) / cell["size"] + 1e-9).cast("long"))
+        return F.greatest(whole, F.lit(0).cast("long"))
+
+    filled = scan(
+        F.col("cells"),
+        F.lit(0.0),
+        lambda carry, cell: due(carry, cell) - copies(carry, cell) * cell["size"],
+        lambda carry, cell: F.struct(
+            cell["size"].alias("size"), cell["n"].alias("n"), copies(carry, cell).alias("copies")
+        ),
+        "struct<size: bigint, n: bigint, copies: bigint>",
+    )
+    return listed.select("source", F.inline(filled))
 
 
 def mix_sources(
