@@ -163,11 +163,14 @@ def train(
     Features are those that toxic samples have significantly more often, by counts added
     up in Spark. Only these features' counts per sampled text come to the driver.
     """
-    known = labels.filter("toxic IS NOT NULL").select(F.col(id_col).alias("_of"), F.col("toxic").cast("int").alias("_y"))
+    # One label and one text per id: copies of either add nothing, however many there are.
+    known = labels.filter("toxic IS NOT NULL").groupBy(F.col(id_col).alias("_of"))
+    known = known.agg(F.max(F.col("toxic").cast("int")).alias("_y"))
     every = max(1, known.count() // sample_rows)
     sample = known.filter(F.pmod(F.xxhash64("_of"), F.lit(every)) == 0).limit(2 * sample_rows)
     text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_body"))
-    rows = text.join(F.broadcast(sample), F.col("_id") == F.col("_of")).select("_body", "_y")
+    rows = text.join(F.broadcast(sample), F.col("_id") == F.col("_of")).groupBy("_of", "_y")
+    rows = rows.agg(F.min("_body").alias("_body")).select("_body", "_y")
     totals = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).alias("bad")).first()
     share = totals["bad"] / max(totals["n"], 1)
     found = rows.mapInArrow(_feature_counts, "feature long, n long, bad long").groupBy("feature")
@@ -185,7 +188,7 @@ def train(
 
 def _score(model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted: OrdinalModel = model.value
+        fitted = OrdinalModel(*model.value)
         weights = np.zeros(1 << FEATURE_BITS)
         weights[fitted.features] = fitted.weights
         features = _WordFeatures(weights != 0)
@@ -221,5 +224,6 @@ def score_toxicity(
     columns = [c for c in (docs.columns if columns is None else columns) if c not in new]
     rows = docs.select(F.col(text_col).cast("string").alias("_body"), *columns)
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[1:])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: workers need not have this package.
+    shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.thresholds))
     return rows.mapInArrow(_score(shared), f"{kept}severity double, toxic_probability double, grade int")
