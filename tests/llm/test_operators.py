@@ -151,6 +151,44 @@ def test_mixing_meets_targets(docs, empty, spark):
     assert mixing.mix_sources(empty).count() == 0
 
 
+def plain_targets(sizes, cap=3):
+    """Targets by the words of the rule: raise all by weight, hold those at their cap, share the excess again."""
+    names = sorted((s for s in sizes if s is not None), key=str) + ([None] if None in sizes else [])
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    held, total = set(), sum(sizes.values())
+    while True:
+        free = [s for s in names if s not in held]
+        left = total - sum(cap * sizes[s] for s in held)
+        target = {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+        over = [s for s in free if target[s] > cap * sizes[s]]
+        if not over:
+            return target | {s: cap * sizes[s] for s in held}
+        held |= set(over)
+
+
+def test_mixing_targets_match_brute_force(spark):
+    rows = [(i, " ".join(["w"] * (1 + i * i % 50)), None if i % 11 == 0 else f"s{(i * i) % 7}") for i in range(300)]
+    rows += [(1000, "w " * 5, "tiny"), (1001, None, "nothing"), (1002, "", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = collections.Counter()
+    for _, t, s in rows:
+        sizes[s] += len(words(t))
+    want = plain_targets(dict(sizes))
+    got = mixing.mix_sources(docs, keep=("source",)).collect()
+    for r in got:
+        assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(want[r["source"]])
+        assert r["taken"] % max(r["size"], 1) == 0 and r["taken"] <= 3 * r["size"]
+    for group in _grouped([r.asDict() for r in got], "source"):
+        assert sum(r["taken"] for r in group) == pytest.approx(group[0]["target"], abs=2)
+
+
+def test_mixing_of_a_source_with_very_many_sizes(spark):
+    cells = spark.range(1, 60_001).selectExpr("'a' AS source", "id AS size", "1L AS n")
+    tilts = spark.createDataFrame([("a", 30_000.0, 0.0)], "source string, mean double, tilt double")
+    quota = mixing._copies_per_cell(cells, tilts, 3)
+    assert [tuple(r) for r in quota.selectExpr("count(*)", "min(copies)", "max(copies)").collect()] == [(60_000, 1, 1)]
+
+
 def test_quality_counts_match_brute_force(docs, empty):
     for r in quality.assess_quality(docs).collect():
         text = r["text"] or ""
@@ -301,6 +339,18 @@ def test_toxicity_on_held_out_texts(docs, empty, spark):
     assert toxicity.score_toxicity(empty, model).count() == 0
 
 
+def test_toxicity_of_repeated_ids_and_labels(spark):
+    """Copies of a text or a label under one id change nothing."""
+    texts = [f"good words number {i} of a calm text {i % 13}" + (" vile vile" if i % 5 == 0 else "") for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(150)], "doc_id long, toxic int")
+    docs = table(spark, texts)
+    hot = spark.range(2000).selectExpr("3L AS doc_id").join(docs, "doc_id").select(docs.columns)
+    once = toxicity.train(docs, labels)
+    often = toxicity.train(docs.unionByName(hot), labels.union(labels).union(labels.limit(0)))
+    assert (np.sort(once.features) == np.sort(often.features)).all()
+    assert np.allclose(once.weights, often.weights, atol=1e-6) and np.allclose(once.thresholds, often.thresholds, atol=1e-6)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href="/x">menu</a></li></ul></nav><div class="ad">buy</div>
 <div class="post-{n} main"><h1>Title &amp; {n}</h1><p>First   paragraph that is long enough to count.<p>Second &eacute;
