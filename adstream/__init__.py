@@ -6,6 +6,7 @@ from adstream.operators.clicks import flag_clicks, flag_clicks_windowed
 from adstream.operators.conversions import flag_orphans, orphan_conversions
 from adstream.operators.dedupe import dedupe_events
 from adstream.operators.parse import encode_events, parse_events
+from adstream.operators.sliding import flag_clicks_sliding
 from adstream.session import build_session
 from adstream.streaming.runner import run_pipeline
 
@@ -17,6 +18,7 @@ __all__ = [
     "dedupe_events",
     "encode_events",
     "flag_clicks",
+    "flag_clicks_sliding",
     "flag_clicks_windowed",
     "flag_orphans",
     "fraud_alerts",

@@ -23,6 +23,7 @@ from adstream.operators.clicks import (
 from adstream.operators.conversions import flag_orphans, orphan_conversions
 from adstream.operators.dedupe import dedupe_events
 from adstream.operators.parse import encode_events, parse_events
+from adstream.operators.sliding import flag_clicks_sliding
 from adstream.plans import reports
 from adstream.schemas import (
     CLICK,
@@ -97,6 +98,10 @@ def _windowed(rules: FraudRules) -> Query:
     return lambda spark, sf_dir: flag_clicks_windowed(_clicks(spark, sf_dir), rules)
 
 
+def _sliding(rules: FraudRules) -> Query:
+    return lambda spark, sf_dir: flag_clicks_sliding(_clicks(spark, sf_dir), rules)
+
+
 def _alerts(rules: FraudRules, window: str) -> Query:
     return lambda spark, sf_dir: fraud_alerts(_windowed(rules)(spark, sf_dir), window)
 
@@ -293,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "flag_clicks_batch": flag_clicks_batch,
     "flag_clicks_10min": _windowed(TEN_MINUTES),
     "flag_clicks_daily": _windowed(DAILY),
+    "flag_clicks_sliding": _sliding(TEN_MINUTES),
     "flag_orphans": _orphans(),
     "flag_orphans_once": _orphans(per_click=False),
     "orphans_prior_only": _orphans(prior_only=True),

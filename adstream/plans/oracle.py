@@ -95,6 +95,39 @@ def _orphans(latest: str) -> str:
 )"""
 
 
+def _flagged_sliding(flood: int, bot: int) -> str:
+    """CTE ``flagged``: clicks in any window of ten minutes, beginning at a minute, over a limit."""
+    return f"""{_BASE}, paned AS (
+  SELECT *, CAST(floor(epoch(timestamp) / 60) AS BIGINT) AS pane FROM clicks
+), users AS (
+  SELECT user_id, pane, count(event_id) AS n FROM paned GROUP BY user_id, pane
+), user_sums AS (
+  SELECT a.user_id, a.pane, sum(b.n) AS n FROM users a
+  JOIN users b ON a.user_id = b.user_id AND b.pane BETWEEN a.pane - 9 AND a.pane GROUP BY a.user_id, a.pane
+), per_user AS (
+  SELECT a.user_id, a.pane, max(s.n) AS n FROM users a
+  JOIN user_sums s ON a.user_id = s.user_id AND s.pane BETWEEN a.pane AND a.pane + 9 GROUP BY a.user_id, a.pane
+), addresses AS (
+  SELECT DISTINCT ip_address, pane, campaign_id FROM paned
+), ip_sums AS (
+  SELECT a.ip_address, a.pane, count(DISTINCT b.campaign_id) AS n FROM (SELECT DISTINCT ip_address, pane FROM addresses) a
+  JOIN addresses b ON a.ip_address = b.ip_address AND b.pane BETWEEN a.pane - 9 AND a.pane GROUP BY a.ip_address, a.pane
+), per_ip AS (
+  SELECT a.ip_address, a.pane, max(s.n) AS n FROM ip_sums a
+  JOIN ip_sums s ON a.ip_address = s.ip_address AND s.pane BETWEEN a.pane AND a.pane + 9 GROUP BY a.ip_address, a.pane
+), flags AS (
+  SELECT c.*, u.n > {flood} AS is_click_flood, i.n > {bot} AS is_bot_ip, c.time_since_impression_ms < 200 AS is_instant_click
+  FROM paned c
+  JOIN per_user u ON c.pane = u.pane AND c.user_id = u.user_id
+  JOIN per_ip i ON c.pane = i.pane AND c.ip_address = i.ip_address
+), flagged AS (
+  SELECT event_id, impression_id, user_id, campaign_id, ip_address, user_agent,
+         time_since_impression_ms, timestamp, fraud_label, is_click_flood, is_bot_ip,
+         is_instant_click, is_click_flood OR is_bot_ip OR is_instant_click AS is_fraud
+  FROM flags
+)"""
+
+
 _WHOLE = _flagged(13, 48, "1")
 _TEN_MINUTES = _flagged(1, 1, "time_bucket(INTERVAL '10 minutes', timestamp)")
 _LATE = _flagged_late(
@@ -125,6 +158,7 @@ ORACLE_SQL: dict[str, str] = {
     "flag_clicks_batch": _WHOLE + " SELECT * FROM flagged",
     "flag_clicks_10min": _TEN_MINUTES + " SELECT * FROM flagged",
     "flag_clicks_daily": _DAILY + " SELECT * FROM flagged",
+    "flag_clicks_sliding": _flagged_sliding(1, 1) + " SELECT * FROM flagged",
     "flag_orphans": _BOTH_WAYS + " SELECT * FROM checked",
     "flag_orphans_once": _BOTH_WAYS + " SELECT DISTINCT * FROM checked",
     "orphans_prior_only": _PRIOR + " SELECT * FROM checked",
