@@ -184,6 +184,10 @@ ORACLE_SQL: dict[str, str] = {
         WHERE is_orphan_conversion ORDER BY timestamp, event_id LIMIT 10""",
     "dedupe_clicks": _BASE
     + " SELECT DISTINCT * FROM (SELECT * FROM clicks UNION ALL SELECT * FROM clicks)",
+    "dedupe_few_copies": _BASE
+    + """ SELECT * FROM clicks UNION ALL
+        SELECT clicks.* REPLACE (CAST(NULL AS VARCHAR) AS event_id) FROM clicks, (VALUES (1), (2)) AS twice (copy)
+        WHERE CAST(substr(event_id, 2) AS BIGINT) % 50 = 0""",
     "stream_bronze_clicks": _BASE + " SELECT * FROM clicks",
     "stream_dedupe": _BASE
     + " SELECT DISTINCT * FROM (SELECT * FROM clicks UNION ALL SELECT * FROM clicks)",

@@ -171,3 +171,23 @@ def test_a_dominant_key_is_spread_in_the_shuffle_form(spark, name):
         sizes = [r["n"] for r in where.collect()]
     assert sum(sizes) == 10_000 and max(sizes) < 4_000
     assert marked.filter("hit").count() == marked.filter("substr(user_id, -1) != '7'").count()
+
+
+def test_only_repeated_events_are_aggregated(spark):
+    from adstream import dedupe_events
+
+    rows = [{"event_id": f"k{i}", "timestamp": at("10:00"), "user_id": f"U{i}"} for i in range(40)]
+    rows += [{"event_id": "k3", "timestamp": at("09:59"), "user_id": "early"}]
+    rows += [{"event_id": "k4", "timestamp": at("10:00"), "user_id": "A"}, {"event_id": "k4", "timestamp": None, "user_id": "Z"}]
+    rows += [{"event_id": None, "user_id": "same"}] * 2
+    clicks = click_frame(spark, rows)
+    kept = dedupe_events(clicks)
+    plain = dedupe_events(clicks, limits=LookupLimits(max_rows=0))
+    assert rows_of(kept) == rows_of(plain) and kept.count() == 42
+    users = {r["event_id"]: r["user_id"] for r in kept.filter("event_id IN ('k3', 'k4')").collect()}
+    assert users == {"k3": "early", "k4": "Z"}
+    # The shuffle before the aggregate takes the few repeated rows alone.
+    with plain_shuffle(spark):
+        plan = plan_of(dedupe_events(clicks))
+    below = plan.split("Exchange hashpartitioning(event_id")[1].split("Union")[0]
+    assert "BroadcastHashJoin" in below and "LeftSemi" in below and "LeftAnti" in plan
