@@ -102,16 +102,12 @@ def replay_in_phases(
 
     Every phase is a restart: ``run`` gets the stream of the feed and the folder below which its
     tables and checkpoints are, and starts its queries anew. The closing events come
-    last, or where ``phases`` has None. Returns the folder.
+    last, or where ``phases`` has None; the batch without data that follows theirs acts on them. Returns the folder.
     """
     root = scratch_path(spark, name)
-    closing = [
-        spark.sql(_CLOSING.format(n=n, id=number, later=_LATER)).coalesce(1) for n, number in _CLOSING_IDS.items()
-    ]
-    steps = []
+    first, second = (spark.sql(_CLOSING.format(n=n, id=number, later=_LATER)) for n, number in _CLOSING_IDS.items())
     for phase in phases if None in phases else [*phases, None]:
-        steps += closing if phase is None else [phase]
-    for step in steps:
+        step = first.unionByName(second).coalesce(1) if phase is None else phase
         step.write.mode("append").parquet(f"{root}/feed")
         with state_partitions(spark):
             run(spark.readStream.schema(adevents.EVENTS_DDL).parquet(f"{root}/feed"), root)
