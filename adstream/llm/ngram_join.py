@@ -313,11 +313,10 @@ def near_duplicates(
     )
     sets = measured.filter("n_shingles IS NOT NULL").select("row_key", "n_shingles", "node")
     firsts = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("row_key").alias("first"))
-    ids = firsts
+    firsts = ids = scratch.save(firsts, "firsts")
 
-    edges = _links(rows, measured, firsts, scratch, width, percent, groups)
-    if edges is not None:
-        labels = connected_components(edges, scratch, "final")
+    labels = _components(rows, measured, firsts, scratch, width, percent, groups)
+    if labels is not None:
         lows = (
             labels.join(firsts, "node")
             .groupBy("component")
@@ -325,6 +324,7 @@ def near_duplicates(
         )
         merged = labels.join(lows, "component").select("node", "low")
         ids = firsts.join(merged, "node", "left").select("node", F.coalesce("low", "first").alias("first"))
+        ids = scratch.save(ids, "ids")
     result = sets.join(ids.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     return result.select(
         F.col("row_key").alias(id_col),
@@ -333,21 +333,32 @@ def near_duplicates(
     )
 
 
-def _links(
+def _summed(parts: DataFrame) -> np.ndarray:
+    """The sketch of the corpus, with as many bytes a count as its largest asks for."""
+    chunks = parts.groupBy("chunk").applyInPandas(_add_parts, "chunk int, counts binary").collect()
+    width = max((len(row["counts"]) for row in chunks), default=_SKETCH_CHUNK) // _SKETCH_CHUNK
+    sketch = np.zeros(((1 << _SKETCH_BITS) // _SKETCH_CHUNK, _SKETCH_CHUNK), f"<u{width}")
+    for row in chunks:
+        sketch[row["chunk"]] = _unpacked(row["counts"], _SKETCH_CHUNK)
+    return sketch.reshape(-1)
+
+
+def _components(
     rows: DataFrame, measured: DataFrame, firsts: DataFrame, scratch: Scratch, width: int, percent: int, groups: int
 ) -> DataFrame | None:
-    """Edges (a, b) between nodes that give the exact components; None if there are none."""
+    """(node, component) of the nodes that may have links, by exact components; None if none has one.
+
+    Each stage of a plan and each table that is broadcast costs the driver some MB for a
+    while. So what several plans use is written once, and rounds end with the last cell
+    where two components could meet.
+    """
     spark = rows.sparkSession
-    sketch_parts = measured.filter("chunk IS NOT NULL").select("chunk", "counts")
-    summed = sketch_parts.groupBy("chunk").applyInPandas(_add_parts, "chunk int, counts binary").collect()
-    sketch = np.zeros(((1 << _SKETCH_BITS) // _SKETCH_CHUNK, _SKETCH_CHUNK), np.int64)
-    for row in summed:
-        sketch[row["chunk"]] = _unpacked(row["counts"], _SKETCH_CHUNK)
-    first_shingles = int(sketch.sum()) * (100 - percent) // 100
+    sketch = _summed(measured.filter("chunk IS NOT NULL").select("chunk", "counts"))
+    first_shingles = int(sketch.sum(dtype=np.int64)) * (100 - percent) // 100
     if not first_shingles and not sketch.any():
         return None
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), first_shingles // _SHINGLES_PER_BLOCK + 1)
-    shared_sketch = spark.sparkContext.broadcast(sketch.reshape(-1))
+    shared_sketch = spark.sparkContext.broadcast(sketch)
     packed = rows.select("body").mapInArrow(
         _prefixes(width, percent, blocks, shared_sketch), "block int, tokens binary, nodes binary, known binary"
     )
@@ -397,9 +408,12 @@ def _links(
     met = may_link(placed.withColumn("j", F.col("i")).withColumn("visiting", F.lit(True)), points, groups)
     met = scratch.save(met, "met")
     several = placed.filter(F.col("n_sets") > _CELL_SETS)
-    visitors = several.join(met, ["token", "node"], "left_anti")
-    across = _visits(several.withColumn("visiting", F.lit(False)), visitors.withColumn("visiting", F.lit(True)))
-    met = met.unionByName(may_link(across, points, groups)).distinct()
+    any_big = not several.isEmpty()
+    if any_big:
+        visitors = several.join(met, ["token", "node"], "left_anti")
+        across = _visits(several.withColumn("visiting", F.lit(False)), visitors.withColumn("visiting", F.lit(True)))
+        met = met.unionByName(may_link(across, points, groups))
+    met = met.distinct()
     cells = scratch.save(cells.join(met, ["token", "node"]), "met-cells")
     scratch.drop("met", "cells")
     live = scratch.save(cells.select("node").distinct(), "live")
@@ -409,11 +423,14 @@ def _links(
     join = _links_of_cells(percent, groups)
     components = live.select("node", F.col("node").alias("component"))
     for k in [*range(1, _MERGING_ROUNDS + 1), None]:
-        open_cells = cells.join(components, "node")
-        sizes = open_cells.groupBy("token", "component").agg(F.count("*").alias("n"))
-        spread = sizes.groupBy("token").agg(F.count("*").alias("n"), F.max_by("component", "n").alias("main"))
-        open_cells = open_cells.join(spread.filter("n > 1").select("token", "main"), "token")
-        if k != 1:
+        if k == 1:
+            open_cells = cells.withColumn("component", F.col("node"))
+        else:
+            open_cells = cells.join(components, "node")
+            sizes = open_cells.groupBy("token", "component").agg(F.count("*").alias("n"))
+            spread = sizes.groupBy("token").agg(F.count("*").alias("n"), F.max_by("component", "n").alias("main"))
+            open_cells = open_cells.join(spread.filter("n > 1").select("token", "main"), "token")
+            open_cells = scratch.save(open_cells, f"open-{k}")
             # Sets with no partner left outside their component leave small cells.
             small = open_cells.filter(F.col("n_sets") <= _CELL_SETS)
             tests = [(points, groups)]
@@ -423,16 +440,19 @@ def _links(
                 asked = small.select("token", "node", "component", F.lit(0).alias("i"), F.lit(0).alias("j"))
                 met = may_link(asked.withColumn("visiting", F.lit(True)), *test).distinct()
                 small = scratch.save(small.join(met, ["token", "node"]), f"small-{k}-{test[1]}")
-            open_cells = small.unionByName(open_cells.filter(F.col("n_sets") > _CELL_SETS), allowMissingColumns=True)
-            open_cells = scratch.save(open_cells, f"open-{k}")
+            open_cells = small if not any_big else small.unionByName(open_cells.filter(F.col("n_sets") > _CELL_SETS), allowMissingColumns=True)
+            if open_cells.isEmpty():
+                break
         if k is None:
             # All that are not of a cell's main component meet all its blocks.
             placed = open_cells.withColumn("i", _block(F.col("n_sets"), 0))
             one = placed.filter(F.col("n_sets") <= _CELL_SETS).withColumn("j", F.col("i"))
-            several = placed.filter(F.col("n_sets") > _CELL_SETS)
-            many = _visits(several, several.filter(F.col("component") != F.col("main")))
             columns = ["token", "i", "j", "node", "component"]
-            placed = one.select(columns).unionByName(many.select(columns))
+            if any_big:
+                several = placed.filter(F.col("n_sets") > _CELL_SETS)
+                many = _visits(several, several.filter(F.col("component") != F.col("main")))
+                one = one.select(columns).unionByName(many.select(columns))
+            placed = one.select(columns)
         else:
             choice = F.min_by(F.struct("token", "n_sets"), F.xxhash64("token", F.lit(k))).alias("cell")
             chosen = open_cells.groupBy("node", "component").agg(choice)
@@ -444,15 +464,16 @@ def _links(
         together = placed.join(vectors, "node")
         together = streamed(together.select("token", "i", "j", "node", "component", "shingles"))
         found = scratch.save(together.mapInArrow(join, "a long, b long").distinct(), f"links-{k}")
+        if found.isEmpty():
+            continue
         edges = found if edges is None else edges.union(found)
-        if k is not None:
-            labels = connected_components(edges, scratch, f"merge-{k}")
-            components = live.join(labels, "node", "left").select(
-                "node", F.coalesce("component", "node").alias("component")
-            )
-            components = scratch.save(components, f"components-{k}")
+        labels = connected_components(edges, scratch, f"merge-{k}")
+        components = live.join(labels, "node", "left").select(
+            "node", F.coalesce("component", "node").alias("component")
+        )
+        components = scratch.save(components, f"components-{k}")
     scratch.drop("points", "sets", "met-cells")
-    return None if edges.isEmpty() else edges
+    return None if edges is None else components
 
 
 def _block(n_sets: Column, salt: int) -> Column:

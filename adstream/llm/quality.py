@@ -142,14 +142,16 @@ def weigh_votes(patterns: DataFrame, rules: list[str], scratch: Scratch) -> Vote
     bad = {r: {_GOOD: 0.5, 0: 0.2, _BAD: 0.3} for r in rules}
     model = VoteModel(0.8, good, bad)
     for _ in range(_EM_STEPS):
-        n, p = F.col("n").cast("double"), model.posterior()
+        # The posterior is a column of its own, or each of the sums would hold a copy of it.
+        weighed = table.select(*rules, F.col("n").cast("double").alias("n"), model.posterior().alias("p"))
+        n, p = F.col("n"), F.col("p")
         sums = [F.sum(n).alias("all"), F.sum(n * p).alias("good")]
         for r in rules:
             for v in _VOTES:
                 cast = F.col(r) == v
                 sums.append(F.sum(F.when(cast, n)).alias(f"all_{r}_{v}"))
                 sums.append(F.sum(F.when(cast, n * p)).alias(f"good_{r}_{v}"))
-        row = table.agg(*sums).first()
+        row = weighed.agg(*sums).first()
         if not row["all"]:
             break
         n_good, n_bad = row["good"], row["all"] - row["good"]

@@ -44,6 +44,7 @@ def _numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
     files = scratch.save(files.withColumnRenamed("file_path", "path"), "files")
     # Numbers of files are numbers of a partition and of a row in it; counted through, they leave room for rows.
     counted = files.select("path", F.row_number().over(Window.orderBy("file")).cast("long").alias("file"))
+    counted = scratch.save(counted, "counted")
     number = F.shiftleft("file", 40) + F.col("row_index")
     return rows.join(counted, F.col("file_path") == F.col("path")).select("row", number.alias("number"))
 

@@ -584,3 +584,26 @@ def test_shingle_hashes_follow_words(monkeypatch):
     # Shared shingles have shared hashes: intersections have the same sizes.
     for a in range(0, 60):
         assert len(np.intersect1d(got[a], got[a + 1])) == len(shingles(texts[a]) & shingles(texts[a + 1]))
+
+
+def test_near_duplicates_of_a_small_table_take_few_jobs(spark):
+    near = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(20)]
+    rows = table(spark, near + [t + " more" for t in near] + [" ".join(near)])
+    context = spark.sparkContext
+    context.setJobGroup("near-duplicates", "")
+    try:
+        got = ngram_join.near_duplicates(rows).collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len({r["component_id"] for r in got}) == 21
+    assert len(context.statusTracker().getJobIdsForGroup("near-duplicates")) < 100
+
+
+def test_a_sketch_has_as_few_bytes_as_its_counts_need(spark):
+    chunk = ngram_join._SKETCH_CHUNK
+    parts = [(c, ngram_join._packed(np.full(chunk, n))) for c, n in [(0, 200), (0, 100), (3, 7)]]
+    sketch = ngram_join._summed(spark.createDataFrame(parts, "chunk int, counts binary"))
+    assert sketch.dtype == np.uint16 and len(sketch) == 1 << ngram_join._SKETCH_BITS
+    assert sketch[0] == 300 and sketch[chunk] == 0 and sketch[3 * chunk] == 7 and sketch.sum() == 307 * chunk
+    none = ngram_join._summed(spark.createDataFrame([], "chunk int, counts binary"))
+    assert none.dtype == np.uint8 and not none.any()
