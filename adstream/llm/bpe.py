@@ -343,12 +343,7 @@ def _decode(path: str | None, names: list[str]) -> Callable:
 
             def rows(column=batch.column(0)):
                 for packed in column:
-                    ids = np.frombuffer(packed.as_py() or b"", "<u4").tolist()
-                    decoder = Decoder(*table)
-                    parts = [
-                        decoder.feed(ids[at : at + _DECODED_AT_ONCE]) for at in range(0, len(ids), _DECODED_AT_ONCE)
-                    ]
-                    text = "".join([*parts, decoder.end()])
+                    text = _text(table, packed.as_py() or b"")
                     yield len(text), (text,)
 
             yield from _batches(rows(), batch.columns[1:], [pa.string()], names)
@@ -356,6 +351,31 @@ def _decode(path: str | None, names: list[str]) -> Callable:
     return run
 
 
+def _text(table: tuple[list[bytes], bytes], packed: bytes) -> str:
+    ids = np.frombuffer(packed, "<u4")
+    decoder = Decoder(*table)
+    parts = [decoder.feed(ids[at : at + _DECODED_AT_ONCE].tolist()) for at in range(0, len(ids), _DECODED_AT_ONCE)]
+    return "".join([*parts, decoder.end()])
+
+
+def _round_trip(path: str | None, names: list[str]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file = path or public_tokenizer()
+        encoder = worker_cached(("encoder", file), lambda: Encoder(file))
+        table = worker_cached(("decoding table", file), lambda: decoding_table(file))
+        for batch in batches:
+
+            def rows(texts=batch.column(0).cast(pa.binary())):
+                for text in texts:
+                    ids = encoder.ids(text.as_py() or b"")
+                    decoded = _text(table, ids)
+                    yield len(ids) + len(decoded), (len(ids) // 4, ids, decoded)
+
+            yield from _batches(rows(), batch.columns[1:], [pa.int64(), pa.binary(), pa.string()], names)
+
+    return run
+
+
 def _mapped(rows: DataFrame, work: Callable, new: list[tuple[str, str]], path: str | None) -> DataFrame:
     """``work`` on the first column, whose place the new ones (name, type) take; the others stay, whatever their names."""
     kept = [(f"_{i}", f.dataType.simpleString()) for i, f in enumerate(rows.schema.fields[1:])]
@@ -398,3 +418,17 @@ def decode_ids(
     columns = [c for c in (encoded.columns if columns is None else columns) if c != "decoded"]
     rows = encoded.select(F.col(ids_col), *columns)
     return _mapped(rows, _decode, [("decoded", "string")], tokenizer_path)
+
+
+def round_trip_texts(
+    docs: DataFrame, text_col: str = "text", columns: list[str] | None = None, tokenizer_path: str | None = None
+) -> DataFrame:
+    """Adds ``n_tokens``, ``ids`` and ``decoded`` as ``decode_ids`` does after ``encode_texts``.
+
+    Each text is decoded where it was encoded. A task then has one Python worker, and one
+    batch of rows, in place of two of each, and the ids need no way between them.
+    """
+    new = [("n_tokens", "long"), ("ids", "binary"), ("decoded", "string")]
+    columns = [c for c in (docs.columns if columns is None else columns) if c not in dict(new)]
+    rows = docs.select(F.col(text_col).cast("string"), *columns)
+    return _mapped(rows, _round_trip, new, tokenizer_path)

@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from adstream.llm import bpe
+from adstream.llm import bpe, queries
 
 SPECIAL = [
     "a <|endoftext|> b",
@@ -172,3 +172,17 @@ def test_batches_split_by_size(spark, monkeypatch):
     batch = pa.record_batch([pa.array(texts), pa.array(range(9))], names=["t", "key"])
     out = list(work(iter([batch, batch.slice(0, 0)])))
     assert len(out) > 2 and list(itertools.chain(*(b.column(2).to_pylist() for b in out))) == list(range(9))
+
+
+def test_a_round_trip_takes_one_worker_and_equals_both_ways(spark, tmp_path):
+    rows = [(i, t, "kept") for i, t in enumerate(TEXTS * 2)] + [(None, TEXTS[0], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, decoded string")
+    got = bpe.round_trip_texts(docs)
+    want = bpe.decode_ids(bpe.encode_texts(docs))
+    assert got.columns == want.columns
+    key = lambda r: (r["doc_id"] is None, r["doc_id"], r["text"])
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+    assert bpe.round_trip_texts(docs.limit(0)).count() == 0
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    query = queries.op11_bpe_round_trip(spark, str(tmp_path))
+    assert query._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
