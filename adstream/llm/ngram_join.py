@@ -10,8 +10,9 @@ that share one such shingle; shingles with the same sets make one cell.
 
 Inside a cell the R-tree bounds overlaps by summed minima of group counts. First it does
 so on count vectors alone, and sets that have no partner left in a cell leave it. For the others, exact
-intersections verify what the tree lets through. Only links that merge components
-come out, so a group of any size gives as many rows as it has sets. Big cells are cut
+intersections verify what the tree lets through. What comes out is which components
+of a cell are one, as a star around the smallest, so a group of any size gives at most as
+many rows as it has sets, and no long paths. Big cells are cut
 into blocks: first rounds give each set one cell and block, which merges dense groups
 cheaply; the last round takes every cell that still holds two components, where the
 sets outside its main component meet all of its blocks. That makes the components exact.
@@ -241,8 +242,8 @@ def _in_batches(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBa
 def _candidates(percent: int, groups: int) -> Callable:
     """Of each cell the sets for which the tree's bound allows a link to another component.
 
-    A row has token, i, j, node, component, visiting and the point. Only visiting sets
-    ask, and all may be found.
+    A row has token, i, j, node, n_sets, component, main, visiting and the point. Only
+    visiting sets ask, and all may be found.
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -250,26 +251,31 @@ def _candidates(percent: int, groups: int) -> Callable:
             rows = list({r[0]: r for r in rows}.values())
             if len(rows) < 2:
                 continue
-            points = np.stack([_unpacked(r[3], groups) for r in rows]).astype(np.int32)
-            component, sizes = np.array([r[1] for r in rows], np.int64), points.sum(axis=1)
+            points = np.stack([_unpacked(r[5], groups) for r in rows]).astype(np.int32)
+            component, sizes = np.array([r[2] for r in rows], np.int64), points.sum(axis=1)
             tree = CountVectorTree(points, sizes, percent)
             kept = set()
+            asks = np.array([r[4] for r in rows], bool)
             # Where all ask, a set that was found need not: its own partners find it.
-            every = all(r[2] for r in rows)
-            for x, (*_, visiting, _) in enumerate(rows):
-                if visiting and not (every and x in kept):
+            every = bool(asks.all())
+            values, counts = np.unique(component, return_counts=True)
+            if every and 2 * counts.max() > len(rows):
+                # Those outside the component of most find its sets, too.
+                asks, every = component != values[counts.argmax()], False
+            for x in np.flatnonzero(asks).tolist():
+                if not (every and x in kept):
                     near = tree.query(points[x], int(sizes[x]))
                     near = near[component[near] != component[x]]
                     if len(near):
                         kept.add(x)
                         kept.update(near.tolist())
-            yield from ((token, rows[x][0]) for x in kept)
+            yield from ((token, *rows[x][:4]) for x in kept)
 
-    return lambda batches: _in_batches(ask(batches), ["token", "node"])
+    return lambda batches: _in_batches(ask(batches), ["token", "node", "n_sets", "component", "main"])
 
 
 def _links_of_cells(percent: int, groups: int) -> Callable:
-    """Links that merge the components of each cell; a row has token, i, j, node, component, shingles."""
+    """(component, the smallest of those it is linked with) in each cell; a row has token, i, j, node, component, shingles."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for _, rows in _groups(batches, 3):
@@ -278,8 +284,12 @@ def _links_of_cells(percent: int, groups: int) -> Callable:
                 continue
             sets = [np.frombuffer(r[2], np.uint64) for r in rows]
             points = np.stack([count_vector(s, groups) for s in sets])
+            start, least = {}, {}
             for x, y in cluster(points, sets, np.array([r[1] for r in rows], np.int64), percent):
-                yield rows[x][0], rows[y][0]
+                known, new = rows[x][1], rows[y][1]
+                first = start[new] = start.setdefault(known, known)
+                least[first] = min(least.get(first, first), new)
+            yield from ((c, least[first]) for c, first in start.items() if c != least[first])
 
     return lambda batches: _in_batches(join(batches), ["a", "b"])
 
@@ -380,15 +390,6 @@ def _components(
     if cells.isEmpty():
         return None
 
-    def reread(nodes: DataFrame, run: Callable, schema: str, name: str) -> DataFrame:
-        """What ``run`` makes of the texts of these nodes, one text each."""
-        wanted = scratch.save(nodes.distinct().join(firsts, "node").select("node", "first"), f"{name}-ids")
-        ids = wanted.select("first").distinct()
-        if wanted.count() <= _BROADCAST_ROWS:
-            ids = F.broadcast(ids)
-        needed = rows.join(ids, F.col("row_key").eqNullSafe(F.col("first")), "left_semi")
-        return scratch.save(needed.select("body").mapInArrow(run, schema), name)
-
     def streamed(table: DataFrame) -> DataFrame:
         return table.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
@@ -397,14 +398,16 @@ def _components(
     touched = cells.select("node").distinct().join(firsts, "node").withColumnRenamed("node", "of")
     points = measured.join(touched, (F.col("node") == F.col("of")) & F.col("row_key").eqNullSafe(F.col("first")))
     points = scratch.save(points.select("node", "point"), "points")
-    point_columns = ["token", "i", "j", "node", "component", "visiting", "point"]
+    point_columns = ["token", "i", "j", "node", "n_sets", "component", "main", "visiting", "point"]
+    kept_columns = "token long, node long, n_sets long, component long, main long"
 
     def may_link(placed: DataFrame, points: DataFrame, groups: int) -> DataFrame:
         table = streamed(placed.join(points, "node").select(point_columns))
-        return table.mapInArrow(_candidates(percent, groups), "token long, node long")
+        return table.mapInArrow(_candidates(percent, groups), kept_columns)
 
     own = _block(F.col("n_sets"), 0).alias("i")
-    placed = cells.select("token", "n_sets", "node", F.col("node").alias("component"), own)
+    alone = [F.col("node").alias("component"), F.lit(None).cast("long").alias("main")]
+    placed = cells.select("token", "n_sets", "node", *alone, own)
     met = may_link(placed.withColumn("j", F.col("i")).withColumn("visiting", F.lit(True)), points, groups)
     met = scratch.save(met, "met")
     several = placed.filter(F.col("n_sets") > _CELL_SETS)
@@ -412,14 +415,19 @@ def _components(
     if any_big:
         visitors = several.join(met, ["token", "node"], "left_anti")
         across = _visits(several.withColumn("visiting", F.lit(False)), visitors.withColumn("visiting", F.lit(True)))
-        met = met.unionByName(may_link(across, points, groups))
-    met = met.distinct()
-    cells = scratch.save(cells.join(met, ["token", "node"]), "met-cells")
-    scratch.drop("met", "cells")
-    live = scratch.save(cells.select("node").distinct(), "live")
-    vectors = reread(live, _sets(width), "node long, shingles binary", "sets")
-
-    edges = None
+        met = scratch.save(met.unionByName(may_link(across, points, groups)).distinct(), "met-cells")
+        scratch.drop("met")
+    scratch.drop("cells")
+    # A set meets once in a cell of one block.
+    cells = met.select("token", "node", "n_sets")
+    live = scratch.save(cells.select("node").distinct().join(firsts, "node").select("node", "first"), "live")
+    ids = live.select("first")
+    if live.count() <= _BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    needed = rows.join(ids, F.col("row_key").eqNullSafe(F.col("first")), "left_semi")
+    vectors = scratch.save(needed.select("body").mapInArrow(_sets(width), "node long, shingles binary"), "sets")
+
+    merged = False
     join = _links_of_cells(percent, groups)
     components = live.select("node", F.col("node").alias("component"))
     for k in [*range(1, _MERGING_ROUNDS + 1), None]:
@@ -437,10 +445,9 @@ def _components(
             if k is None:
                 tests.append((vectors.mapInArrow(_fine_points, "node long, point binary"), _FINE_GROUPS))
             for test in tests:
-                asked = small.select("token", "node", "component", F.lit(0).alias("i"), F.lit(0).alias("j"))
-                met = may_link(asked.withColumn("visiting", F.lit(True)), *test).distinct()
-                small = scratch.save(small.join(met, ["token", "node"]), f"small-{k}-{test[1]}")
-            open_cells = small if not any_big else small.unionByName(open_cells.filter(F.col("n_sets") > _CELL_SETS), allowMissingColumns=True)
+                asked = small.withColumns({"i": F.lit(0), "j": F.lit(0), "visiting": F.lit(True)})
+                small = scratch.save(may_link(asked, *test), f"small-{k}-{test[1]}")
+            open_cells = small if not any_big else small.unionByName(open_cells.filter(F.col("n_sets") > _CELL_SETS))
             if open_cells.isEmpty():
                 break
         if k is None:
@@ -463,17 +470,21 @@ def _components(
             placed = F.broadcast(placed)
         together = placed.join(vectors, "node")
         together = streamed(together.select("token", "i", "j", "node", "component", "shingles"))
-        found = scratch.save(together.mapInArrow(join, "a long, b long").distinct(), f"links-{k}")
+        found = scratch.save(together.mapInArrow(join, "a long, b long"), f"links-{k}")
         if found.isEmpty():
             continue
-        edges = found if edges is None else edges.union(found)
-        labels = connected_components(edges, scratch, f"merge-{k}")
-        components = live.join(labels, "node", "left").select(
-            "node", F.coalesce("component", "node").alias("component")
+        if merged or k is None:
+            labels = connected_components(found, scratch, f"merge-{k}").toDF("component", "least")
+        else:
+            # Each set is its own component and came to one cell, so these are stars apart.
+            labels = found.toDF("component", "least")
+        components = components.join(labels, "component", "left").select(
+            "node", F.coalesce("least", "component").alias("component")
         )
         components = scratch.save(components, f"components-{k}")
-    scratch.drop("points", "sets", "met-cells")
-    return None if edges is None else components
+        merged = True
+    scratch.drop("points", "sets", "met", "met-cells")
+    return components if merged else None
 
 
 def _block(n_sets: Column, salt: int) -> Column:

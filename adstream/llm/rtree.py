@@ -44,13 +44,19 @@ class CountVectorTree:
         for left, (*_, span) in zip(self.left, self.levels):
             left[at // span] -= 1
 
-    def _fits(self, point, size, tops, least, most) -> np.ndarray:
-        """Boxes that may hold a set similar enough: by size, then by the summed minima."""
+    def _fits(self, point, size, nodes, tops, least, most) -> np.ndarray:
+        """Those of some boxes that may hold a set similar enough: by size, then by the summed minima."""
         p = self.percent
-        sized = (100 * most >= p * size) & (100 * size >= p * least)
-        smallest = np.maximum(least, -(-p * size // 100))
+        nodes = nodes[(100 * most[nodes] >= p * size) & (100 * size >= p * least[nodes])]
+        smallest = np.maximum(least[nodes], -(-p * size // 100))
         need = p * (size + smallest)
-        return sized & ((100 + p) * np.minimum(tops, point).sum(axis=1) >= need)
+        # Groups that a small set has nothing in add nothing.
+        some = np.flatnonzero(point)
+        if 8 * len(some) < len(point):
+            both = np.minimum(tops[np.ix_(nodes, some)], point[some])
+        else:
+            both = np.minimum(tops[nodes], point)
+        return nodes[(100 + p) * both.sum(axis=1) >= need]
 
     def query(self, point: np.ndarray, size: int) -> np.ndarray:
         """The remaining items whose bound allows a link with the given set."""
@@ -58,13 +64,12 @@ class CountVectorTree:
         for depth in range(len(self.levels) - 1, -1, -1):
             tops, least, most, _ = self.levels[depth]
             nodes = nodes[self.left[depth][nodes] > 0]
-            nodes = nodes[self._fits(point, size, tops[nodes], least[nodes], most[nodes])]
+            nodes = self._fits(point, size, nodes, tops, least, most)
             below = len(self.levels[depth - 1][0]) if depth else len(self.points)
             nodes = (nodes[:, None] * _FAN_OUT + np.arange(_FAN_OUT)).ravel()
             nodes = nodes[nodes < below]
         nodes = nodes[self.alive[nodes]]
-        sizes = self.sizes[nodes]
-        return self.order[nodes[self._fits(point, size, self.points[nodes], sizes, sizes)]]
+        return self.order[self._fits(point, size, nodes, self.points, self.sizes, self.sizes)]
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -607,3 +608,66 @@ def test_a_sketch_has_as_few_bytes_as_its_counts_need(spark):
     assert sketch[0] == 300 and sketch[chunk] == 0 and sketch[3 * chunk] == 7 and sketch.sum() == 307 * chunk
     none = ngram_join._summed(spark.createDataFrame([], "chunk int, counts binary"))
     assert none.dtype == np.uint8 and not none.any()
+
+
+def chain_of_sets(n):
+    """Sets of which each is near the next one only, all with the shingles that stay to the end."""
+    hashes = np.random.default_rng(1).integers(0, 1 << 62, 20 * n + 400, dtype=np.uint64)
+    return [np.sort(hashes[20 * k : 20 * k + 400]) for k in range(n)]
+
+
+def test_cells_give_stars_not_paths():
+    sets, names = chain_of_sets(40), ["token", "i", "j", "node", "component", "shingles"]
+    # The first three are one component already; a repeated row changes nothing.
+    component = [905, 905, 905] + [(k * 7919) % 1000 + 1000 for k in range(3, 40)]
+    rows = [(5, 0, 0, k, component[k], s.tobytes()) for k, s in enumerate(sets)]
+    far = [(6, 0, 0, k, component[k], sets[k].tobytes()) for k in (10, 30)]
+    batch = pa.record_batch([list(c) for c in zip(*rows, rows[7], *far)], names=names)
+    found = pa.Table.from_batches(ngram_join._links_of_cells(75, 512)(iter([batch]))).to_pylist()
+    assert sorted((r["a"], r["b"]) for r in found) == sorted((c, 905) for c in component[3:])
+
+
+def test_sets_of_a_cells_main_component_need_not_ask(monkeypatch):
+    rng = np.random.default_rng(2)
+    names = ["token", "i", "j", "node", "n_sets", "component", "main", "visiting", "point"]
+    base = rng.integers(0, 1 << 62, 300, dtype=np.uint64)
+    sets = [np.sort(np.r_[base, rng.integers(0, 1 << 62, 10, dtype=np.uint64)]) for _ in range(60)]
+    sets.append(np.sort(rng.integers(0, 1 << 62, 300, dtype=np.uint64)))
+    asked, query = [], ngram_join.CountVectorTree.query
+    monkeypatch.setattr(ngram_join.CountVectorTree, "query", lambda *a: asked.append(1) or query(*a))
+    for component, want, most in (
+        ([1] * 58 + [58, 59, 60], range(60), 3),
+        ([1] * 60 + [60], (), 1),
+        (list(range(61)), range(60), 2),
+    ):
+        asked.clear()
+        points = [ngram_join._packed(ngram_join.count_vector(s, 4096)) for s in sets]
+        rows = [(5, 0, 0, k, 61, component[k], None, True, points[k]) for k in range(61)]
+        batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=names)
+        kept = pa.Table.from_batches(ngram_join._candidates(75, 4096)(iter([batch]))).to_pylist()
+        assert sorted((r["node"], r["component"], r["n_sets"]) for r in kept) == [(k, component[k], 61) for k in want]
+        assert len(asked) <= most
+
+
+@pytest.mark.parametrize("groups", [64, 4096])
+def test_a_tree_finds_what_the_bound_allows(groups):
+    sets = chain_of_sets(300)
+    points = np.stack([ngram_join.count_vector(s[: 100 + k], groups) for k, s in enumerate(sets)])
+    sizes = points.sum(axis=1)
+    tree = ngram_join.CountVectorTree(points, sizes, 75)
+    for x in range(0, 300, 7):
+        both = np.minimum(points, points[x]).sum(axis=1)
+        want = np.flatnonzero(100 * both >= 75 * (sizes + sizes[x] - both))
+        assert np.isin(want, found := tree.query(points[x], int(sizes[x]))).all()
+        assert np.array_equal(np.sort(found), want)
+
+
+def test_near_duplicates_of_a_long_chain(spark):
+    # Of 250 words, each text has six others than the one before.
+    chain = [" ".join(f"c{i}" if i >= 6 * k else f"k{k}c{i}" for i in range(250)) for k in range(36)]
+    got = ngram_join.near_duplicates(table(spark, chain)).collect()
+    sets = [shingles(t) for t in chain]
+    near = [100 * len(x & y) >= 75 * len(x | y) for x, y in zip(sets, sets[1:])]
+    want = np.r_[0, np.cumsum(~np.array(near))]
+    first = [int(np.flatnonzero(want == c)[0]) for c in want]
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(first))
