@@ -375,17 +375,7 @@ def _components(
     dealt = packed.repartition(blocks, "block").sortWithinPartitions("block")
     shared = scratch.save(dealt.mapInArrow(_shared, "token long, node long"), "shared")
 
-    of_token = (
-        shared.distinct()
-        .groupBy("token")
-        .agg(
-            F.count("*").alias("n_sets"),
-            F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("which"),
-        )
-        .filter("n_sets > 1")
-    )
-    tokens = of_token.groupBy("n_sets", "which").agg(F.min("token").alias("token")).select("token", "n_sets")
-    cells = scratch.save(shared.distinct().join(tokens, "token"), "cells")
+    cells = scratch.save(shared.distinct().join(_different_cells(shared.distinct()), "token"), "cells")
     scratch.drop("shared")
     if cells.isEmpty():
         return None
@@ -416,10 +406,10 @@ def _components(
         visitors = several.join(met, ["token", "node"], "left_anti")
         across = _visits(several.withColumn("visiting", F.lit(False)), visitors.withColumn("visiting", F.lit(True)))
         met = scratch.save(met.unionByName(may_link(across, points, groups)).distinct(), "met-cells")
-        scratch.drop("met")
-    scratch.drop("cells")
-    # A set meets once in a cell of one block.
-    cells = met.select("token", "node", "n_sets")
+    # A set meets once in a cell of one block. Cells that have the same sets left are one.
+    tokens = _different_cells(met).select("token")
+    cells = scratch.save(met.select("token", "node", "n_sets").join(tokens, "token", "left_semi"), "open-1")
+    scratch.drop("cells", "met", "met-cells")
     live = scratch.save(cells.select("node").distinct().join(firsts, "node").select("node", "first"), "live")
     ids = live.select("first")
     if live.count() <= _BROADCAST_ROWS:
@@ -446,7 +436,10 @@ def _components(
                 tests.append((vectors.mapInArrow(_fine_points, "node long, point binary"), _FINE_GROUPS))
             for test in tests:
                 asked = small.withColumns({"i": F.lit(0), "j": F.lit(0), "visiting": F.lit(True)})
+                if small.count() <= _BROADCAST_ROWS:
+                    asked = F.broadcast(asked)
                 small = scratch.save(may_link(asked, *test), f"small-{k}-{test[1]}")
+            small = small.join(_different_cells(small).select("token"), "token", "left_semi")
             open_cells = small if not any_big else small.unionByName(open_cells.filter(F.col("n_sets") > _CELL_SETS))
             if open_cells.isEmpty():
                 break
@@ -483,10 +476,17 @@ def _components(
         )
         components = scratch.save(components, f"components-{k}")
         merged = True
-    scratch.drop("points", "sets", "met", "met-cells")
+    scratch.drop("points", "sets", "open-1")
     return components if merged else None
 
 
+def _different_cells(cells: DataFrame) -> DataFrame:
+    """(token, n_sets) of the cells with several sets, only one of those that have the same."""
+    which = F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("which")
+    sizes = cells.groupBy("token").agg(F.count("*").alias("n_sets"), which).filter("n_sets > 1")
+    return sizes.groupBy("n_sets", "which").agg(F.min("token").alias("token")).select("token", "n_sets")
+
+
 def _block(n_sets: Column, salt: int) -> Column:
     """The block of its cell that a set belongs to; cells up to a bound have one."""
     return F.pmod(F.xxhash64("node", F.lit(salt)), F.ceil(n_sets / _CELL_SETS)).cast("int")
